@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from halyard.contract import TOP_DECILE
@@ -14,7 +14,7 @@ TOP_DRIVERS = 15
 
 def offer_list(
     scored: DataFrame,
-    budget: int | float,
+    budget: int | float | Column,
     cost: str | None = None,
     key: str = "account_id",
     score: str = "score",
@@ -24,12 +24,13 @@ def offer_list(
     Without ``cost`` the budget is a number of accounts. Equal scores are taken by key. Costs
     are not negative. Ranges of scores past the budget are dropped before rows are shuffled.
     """
+    limit = budget if isinstance(budget, Column) else F.lit(budget)
     amount = F.lit(1).cast("bigint") if cost is None else F.col(cost)
     costed = scored.where(F.col(score).isNotNull()).select(
         key, score, F.lit(1).cast("bigint").alias("place"), amount.alias("cost")
     )
     listed = running_totals(
-        costed, score, ["place", "cost"], tie_break=key, up_to=("cost", F.lit(budget))
+        costed, score, ["place", "cost"], tie_break=key, up_to=("cost", limit)
     )
     return listed.select(
         key,

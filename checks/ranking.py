@@ -193,6 +193,12 @@ def stratified_split(spark, sf):
     return split.select("account_id", "label", "is_test")
 
 
+def _stored_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Split and scores stored once, as the training jobs do: evaluation reads them several times."""
+    split = splitting.stratified_split(scored_orders(spark, sf))
+    return tables.materialise(split, workspace_path(spark, "scores"))
+
+
 def _evaluation_sql(base_name: str, top: bool, everyone: str = "") -> str:
     source = "scored_orders"
     ctes = _split_cte(source) | _ladder_ctes("split", "WHERE is_test")
@@ -221,7 +227,7 @@ def _evaluation_sql(base_name: str, top: bool, everyone: str = "") -> str:
 
 @query("evaluate_churn", _evaluation_sql("base_churn_rate", top=True))
 def evaluate_churn(spark, sf):
-    return metrics.evaluate_churn(splitting.stratified_split(scored_orders(spark, sf)))
+    return metrics.evaluate_churn(_stored_split(spark, sf))
 
 
 @query(
@@ -233,7 +239,7 @@ def evaluate_churn(spark, sf):
     ),
 )
 def evaluate_propensity(spark, sf):
-    return metrics.evaluate_propensity(splitting.stratified_split(scored_orders(spark, sf)))
+    return metrics.evaluate_propensity(_stored_split(spark, sf))
 
 
 # --- gate and promotion log -------------------------------------------------

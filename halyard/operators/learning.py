@@ -55,7 +55,6 @@ def one_hot_stages(categorical: Sequence[str] = CATEGORICAL_COLUMNS) -> list:
             inputCols=indexed,
             outputCols=[c + _ENCODED for c in categorical],
             dropLast=True,
-            handleInvalid="keep",
         ),
     ]
 
@@ -195,3 +194,21 @@ def feature_importance(
         list(zip(names, values)), "feature string, importance double"
     )
     return importances if n is None else top_drivers(importances, n)
+
+
+def assemble(frame: DataFrame, numeric: Sequence[str], output: str = "features") -> DataFrame:
+    """Numeric columns as they are next to the one-hot categories, in one vector."""
+    stages = [
+        *one_hot_stages(),
+        VectorAssembler(
+            inputCols=[*[c + _ENCODED for c in CATEGORICAL_COLUMNS], *numeric], outputCol=output
+        ),
+    ]
+    return Pipeline(stages=stages).fit(frame).transform(frame).select(*frame.columns, output)
+
+
+def impute_with_flags(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``<c>_missing`` and ``<c>_filled`` for each column."""
+    filled = Pipeline(stages=impute_stages(columns)).fit(frame).transform(frame)
+    added = [f"{c}_{kind}" for c in columns for kind in ("missing", "filled")]
+    return filled.select(*frame.columns, *added)

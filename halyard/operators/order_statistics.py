@@ -27,11 +27,12 @@ def _range_count(frame: DataFrame) -> int:
 
 def _with_ranges(frame: DataFrame, column: str, cuts: Sequence[float], output: str) -> DataFrame:
     if not cuts:
-        return frame.withColumn(output, F.lit(0.0))
+        return frame.withColumn(output, F.lit(0))
     splits = [-math.inf, *cuts, math.inf]
-    return Bucketizer(
+    placed = Bucketizer(
         splits=splits, inputCol=column, outputCol=output, handleInvalid="keep"
     ).transform(frame)
+    return placed.withColumn(output, F.col(output).cast("int"))
 
 
 def _cut_into_ranges(
@@ -51,13 +52,13 @@ def _cut_into_ranges(
     heavy = {value: n for value, n in repeats.items() if n > 1}
     if tie_break is None or not heavy:
         ranged = _with_ranges(frame, order_by, sorted(repeats), _RANGE)
-        return ranged.withColumn(_PART, F.lit(0.0))
+        return ranged.withColumn(_PART, F.lit(0))
     own_ranges = set(repeats) | {math.nextafter(v, math.inf) for v in heavy}
     ranged = _with_ranges(frame, order_by, sorted(own_ranges), _RANGE)
     step = max(1, ranges // max(heavy.values()))
     parted = _with_ranges(ranged, tie_break, sorted(set(found[1][::step])), _PART)
     is_heavy = F.col(order_by).cast("double").isin([float(v) for v in heavy])
-    return parted.withColumn(_PART, F.when(is_heavy, F.col(_PART)).otherwise(F.lit(0.0)))
+    return parted.withColumn(_PART, F.when(is_heavy, F.col(_PART)).otherwise(F.lit(0)))
 
 
 def _sort_keys(order_by: str, tie_break: str | None, descending: bool) -> list[Column]:
@@ -166,7 +167,7 @@ def _ranged_levels(levels: DataFrame, values: DataFrame, ranges: int | None) ->
     ranges = ranges or _range_count(levels)
     probabilities = [i / ranges for i in range(1, ranges)]
     cuts = values.approxQuantile("value", probabilities, 1.0 / (4 * ranges)) if ranges > 1 else []
-    return _with_ranges(levels, "value", sorted(set(cuts)), _RANGE).withColumn(_PART, F.lit(0.0))
+    return _with_ranges(levels, "value", sorted(set(cuts)), _RANGE).withColumn(_PART, F.lit(0))
 
 
 def _interpolation_points(

@@ -51,12 +51,17 @@ def strip_prefix(value: Column, prefix: str) -> Column:
 
 
 def first_largest(candidates: Mapping[str, Column]) -> Column:
-    """Name of the largest candidate; the earliest wins a tie, null and NaN are skipped."""
+    """Name of the largest candidate; the earliest wins a tie, null and NaN are skipped.
+
+    The null check is explicit: over a literal array ``element_at`` does not pass a null index on.
+    """
     names = F.array(*[F.lit(name) for name in candidates])
     values = F.array(
         *[F.nanvl(column.cast("double"), F.lit(None).cast("double")) for column in candidates.values()]
     )
-    return F.element_at(names, F.array_position(values, F.array_max(values)).cast("int"))
+    largest = F.array_max(values)
+    name = F.element_at(names, F.array_position(values, largest).cast("int"))
+    return F.when(largest.isNotNull(), name)
 
 
 def exact_sum(value: Column, digits: int) -> Column:

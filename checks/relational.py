@@ -117,13 +117,17 @@ def ensure_database(spark, sf):
     for name in ("halyard_raw", "halyard_features"):
         tables.ensure_database(spark, name, f"{place}/{name}")
         tables.ensure_database(spark, name)
-    named = {"subscribers": subscribers(spark, sf), "viewing_activity": event_activity(spark, sf)}
+    declared = {
+        "subscribers": (subscribers(spark, sf), SUBSCRIBERS),
+        "viewing_activity": (event_activity(spark, sf), activity_schema(EVENT_GENRES)),
+    }
     counts = []
-    for name, frame in named.items():
-        writer = frame.write.mode("overwrite").format("parquet").option("path", f"{place}/{name}")
-        writer.saveAsTable(f"halyard_raw.{name}")
-        stored = tables.scan_view(spark, f"halyard_raw.{name}")
-        counts.append(stored.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows"))
+    for name, (frame, schema) in declared.items():
+        table = f"halyard_raw.{name}"
+        tables.ensure_table(spark, table, schema, f"{place}/{name}")
+        tables.load_table(frame, table, schema)
+        stored = tables.scan_view(spark, table).agg(F.count("*").alias("n_rows"))
+        counts.append(stored.select(F.lit(name).alias("table_name"), "n_rows"))
     return reduce(DataFrame.unionByName, counts)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.contract import CHURN_LABEL, GENRES, UPSELL_LABEL, affinity_columns
@@ -65,20 +65,24 @@ def segment_genre_affinity(
 def affinity_index(
     segmented: DataFrame, segment: str = "segment", genres: Sequence[str] = GENRES
 ) -> DataFrame:
-    """Segment mean share over base mean share: above 1 a genre is over-represented."""
+    """Segment mean share over base mean share: above 1 a genre is over-represented.
+
+    The base mean is the segments' sums over their counts, so the accounts are read once. The
+    window that adds them up sees one row per segment.
+    """
     columns = affinity_columns(genres)
-    base = segmented.agg(*[F.avg(c).alias(c) for c in columns])
-    return (
-        segmented.groupBy(segment)
-        .agg(*[F.avg(c).alias(c) for c in columns])
-        .select(
-            segment,
-            *[
-                safe_divide(F.col(c), base.select(c).scalar()).alias(f"index_{c}")
-                for c in columns
-            ],
+    sums = [F.sum(c).alias(f"sum_{c}") for c in columns]
+    counts = [F.count(c).alias(f"n_{c}") for c in columns]
+    all_segments = Window.partitionBy()
+
+    def index(c: str) -> Column:
+        own = safe_divide(F.col(f"sum_{c}"), F.col(f"n_{c}"))
+        base = safe_divide(
+            F.sum(f"sum_{c}").over(all_segments), F.sum(f"n_{c}").over(all_segments)
         )
-    )
+        return safe_divide(own, base).alias(f"index_{c}")
+
+    return segmented.groupBy(segment).agg(*sums, *counts).select(segment, *map(index, columns))
 
 
 def frame_counts(frame: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from halyard.contract import GENRES, SEED, affinity_columns
 from halyard.functions.scalar import first_largest, round_half_away
@@ -39,8 +40,8 @@ def sampled_silhouette(
 ) -> DataFrame:
     """Mean Euclidean silhouette of a fixed-size sample, for one or more assignments.
 
-    The sample is bounded by ``sample_size``, so it is shipped whole to every task; the sampled
-    rows themselves stay distributed and each Arrow batch is compared with the shipped sample.
+    The table is read once, for the sample, which is bounded by ``sample_size``. The sample is
+    shipped to every task, and each task compares its share of the sampled rows with it.
     All assignments use the same sample and the same distances. A singleton scores 0. With
     fewer than two clusters in the sample there is no silhouette (null).
     """
@@ -51,8 +52,11 @@ def sampled_silhouette(
         *[F.col(c).cast("double").alias(c) for c in columns],
         *[F.col(a).cast("int").alias(a) for a in assignments],
     )
-    sample = hash_sample(needed, sample_size, key, seed).drop(key)
-    shipped = frame.sparkSession.sparkContext.broadcast(sample.toPandas())
+    spark = frame.sparkSession
+    schema = StructType([f for f in needed.schema if f.name != key])
+    drawn = hash_sample(needed, sample_size, key, seed).drop(key).toPandas()
+    shipped = spark.sparkContext.broadcast(drawn)
+    sample = spark.createDataFrame(drawn, schema).repartition(1 + len(drawn) // 500)
     names, dimensions = list(assignments), list(columns)
 
     def silhouettes(batches: Iterator) -> Iterator:

@@ -50,14 +50,14 @@ def retention_targets(
 ) -> DataFrame:
     """High-risk accounts with the dominant genre of their segment and the offer that fits it.
 
-    ``profile`` has one row per segment (at most a few dozen), so it is broadcast.
+    ``profile`` has one row per segment; Spark broadcasts it if its measured size allows.
     """
     threshold = quantile(scored, "score", q).scalar()
     personas = profile.select("segment", "dominant_genre")
     return (
         at_or_above(scored.select(key, "score"), threshold)
         .join(segments.select(key, "segment"), key, "inner")
-        .join(F.broadcast(personas), "segment", "inner")
+        .join(personas, "segment", "inner")
         .select(
             key,
             "score",

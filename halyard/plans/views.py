@@ -18,10 +18,12 @@ def feature_views(
     activity: DataFrame,
     genres: Sequence[str] = GENRES,
     digits: int | None = None,
+    missing_month: str = "zero",
 ) -> dict[str, DataFrame]:
     """All four views, lazy. Pass a stored viewing table through :func:`views_over` instead if
     several of them are read in one run."""
-    return views_over(subscribers, viewing_features(activity, genres, digits=digits), genres)
+    viewing = viewing_features(activity, genres, missing_month, digits)
+    return views_over(subscribers, viewing, genres)
 
 
 def views_over(
@@ -40,6 +42,7 @@ def register_feature_views(
     activity: DataFrame,
     genres: Sequence[str] = GENRES,
     digits: int | None = None,
+    missing_month: str = "zero",
 ) -> list[str]:
     """Create or replace the views, so that they can be queried with SQL by name."""
-    return register_views(feature_views(subscribers, activity, genres, digits))
+    return register_views(feature_views(subscribers, activity, genres, digits, missing_month))

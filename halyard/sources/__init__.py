@@ -4,6 +4,8 @@ from halyard.sources.tables import (
     SchemaError,
     conform,
     ensure_database,
+    ensure_table,
+    load_table,
     materialise,
     read_csv,
     read_report_csv,
@@ -20,7 +22,9 @@ __all__ = [
     "conform",
     "ensure_checkpoint_dir",
     "ensure_database",
+    "ensure_table",
     "load_model",
+    "load_table",
     "materialise",
     "read_account_range",
     "read_csv",

@@ -48,6 +48,20 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{where}")
 
 
+def ensure_table(
+    spark: SparkSession, name: str, schema: StructType, location: str | None = None
+) -> None:
+    """Create an empty table with the declared columns if it does not exist."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    where = "" if location is None else f" LOCATION '{location}'"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{where}")
+
+
+def load_table(frame: DataFrame, name: str, schema: StructType, overwrite: bool = True) -> None:
+    """Put rows with the declared columns into an existing table."""
+    conform(frame, schema).write.insertInto(name, overwrite=overwrite)
+
+
 def scan_view(spark: SparkSession, name: str) -> DataFrame:
     """All rows of a named table or view, still lazy: later filters and projections reach it."""
     return spark.table(name)

@@ -24,13 +24,13 @@ def score_ladder(
     Columns: score, positives, n, and for both the total at or above the score and over the
     whole frame. Rows without a score or label are not ranked.
     """
-    ranked = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
-        F.col(score).cast("double").alias("score"), F.col(label).cast("bigint").alias("label")
+    rows = scored.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
+        F.col(score).cast("double").alias("score"),
+        F.col(label).cast("bigint").alias("positives"),
+        F.lit(1).cast("bigint").alias("n"),
     )
-    levels = ranked.groupBy("score").agg(
-        F.sum("label").alias("positives"), F.count(F.lit(1)).alias("n")
-    )
-    return running_totals(levels, "score", ["positives", "n"], ranges=ranges)
+    levels = rows.groupBy("score").agg(F.sum("positives").alias("positives"), F.sum("n").alias("n"))
+    return running_totals(levels, "score", ["positives", "n"], rows=rows, ranges=ranges)
 
 
 def _double(name: str) -> Column:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -35,30 +36,46 @@ def _with_ranges(frame: DataFrame, column: str, cuts: Sequence[float], output: s
     return placed.withColumn(output, F.col(output).cast("int"))
 
 
-def _cut_into_ranges(
-    frame: DataFrame, order_by: str, tie_break: str | None, ranges: int
-) -> DataFrame:
-    """Add the range (and, inside a heavy value, the part) each row belongs to.
+@dataclass(frozen=True)
+class _Ranges:
+    """Cut points of the ordering column and, inside its heavy values, of the tie-break."""
+
+    order_by: str
+    cuts: list[float]
+    heavy: list[float]
+    tie_break: str | None
+    tie_cuts: list[float]
+
+    def assign(self, frame: DataFrame) -> DataFrame:
+        """Add the range of each row and its part of the range (0 outside heavy values)."""
+        ranged = _with_ranges(frame, self.order_by, self.cuts, _RANGE)
+        if not self.heavy:
+            return ranged.withColumn(_PART, F.lit(0))
+        parted = _with_ranges(ranged, self.tie_break, self.tie_cuts, _PART)
+        is_heavy = F.col(self.order_by).cast("double").isin(self.heavy)
+        return parted.withColumn(_PART, F.when(is_heavy, F.col(_PART)).otherwise(F.lit(0)))
+
 
-    Cut points come from approximate quantiles: at most ``ranges - 1`` numbers reach the
-    driver, and any choice of them gives the same totals. A value that fills several quantiles
-    gets a range of its own, which ``tie_break`` splits into as many parts as it fills.
+def _find_ranges(
+    frame: DataFrame, order_by: str, tie_break: str | None, ranges: int | None
+) -> _Ranges:
+    """Balanced ranges from approximate quantiles.
+
+    At most ``ranges - 1`` numbers per column reach the driver, and any choice of them gives the
+    same totals. A value that fills several quantiles gets a range of its own, which the
+    tie-break splits into as many parts as the value fills.
     """
+    ranges = ranges or _range_count(frame)
     probabilities = [i / ranges for i in range(1, ranges)]
     columns = [order_by] if tie_break is None else [order_by, tie_break]
     found = frame.approxQuantile(columns, probabilities, 1.0 / (4 * ranges)) if ranges > 1 else []
-    cuts = found[0] if found else []
-    repeats = Counter(cuts)
+    repeats = Counter(float(c) for c in found[0]) if found else Counter()
     heavy = {value: n for value, n in repeats.items() if n > 1}
     if tie_break is None or not heavy:
-        ranged = _with_ranges(frame, order_by, sorted(repeats), _RANGE)
-        return ranged.withColumn(_PART, F.lit(0))
+        return _Ranges(order_by, sorted(repeats), [], None, [])
     own_ranges = set(repeats) | {math.nextafter(v, math.inf) for v in heavy}
-    ranged = _with_ranges(frame, order_by, sorted(own_ranges), _RANGE)
     step = max(1, ranges // max(heavy.values()))
-    parted = _with_ranges(ranged, tie_break, sorted(set(found[1][::step])), _PART)
-    is_heavy = F.col(order_by).cast("double").isin([float(v) for v in heavy])
-    return parted.withColumn(_PART, F.when(is_heavy, F.col(_PART)).otherwise(F.lit(0)))
+    return _Ranges(order_by, sorted(own_ranges), list(heavy), tie_break, sorted(set(found[1][::step])))
 
 
 def _sort_keys(order_by: str, tie_break: str | None, descending: bool) -> list[Column]:
@@ -95,6 +112,7 @@ def running_totals(
     descending: bool = True,
     tie_break: str | None = None,
     up_to: tuple[str, Column] | None = None,
+    rows: DataFrame | None = None,
     ranges: int | None = None,
 ) -> DataFrame:
     """Add ``<s>_running`` (inclusive) and ``<s>_total`` for each column in ``sums``.
@@ -102,9 +120,12 @@ def running_totals(
     ``order_by`` must be numeric and never null; without ``tie_break`` it must be unique.
     ``up_to=(s, limit)`` keeps only rows whose running total of ``s`` is within the limit (for
     non-negative ``s``); whole ranges beyond the limit are dropped before any row is shuffled.
+    If ``frame`` is an aggregate, ``rows`` are the rows behind it, with the same columns: range
+    totals are then counted on them directly and the aggregate is computed once.
     """
-    ranged = _cut_into_ranges(frame, order_by, tie_break, ranges or _range_count(frame))
-    offsets = _range_offsets(ranged, sums, descending)
+    rows = frame if rows is None else rows
+    found = _find_ranges(rows, order_by, tie_break, ranges)
+    offsets = _range_offsets(found.assign(rows), sums, descending)
     if up_to is not None:
         limited, limit = up_to
         offsets = offsets.where(F.col(f"__{limited}_before") <= limit)
@@ -113,7 +134,8 @@ def running_totals(
         .orderBy(*_sort_keys(order_by, tie_break, descending))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    result = ranged.join(F.broadcast(offsets), [_RANGE, _PART]).select(
+    placed = found.assign(frame).join(F.broadcast(offsets), [_RANGE, _PART])
+    result = placed.select(
         *frame.columns,
         *[(F.sum(s).over(within) + F.col(f"__{s}_before")).alias(f"{s}_running") for s in sums],
         *[f"{s}_total" for s in sums],
@@ -128,48 +150,35 @@ def quantile(
 ) -> DataFrame:
     """Exact linearly interpolated quantile as a one-row frame; nulls are ignored.
 
-    Equal values are folded first; then only the one or two ranges that hold the wanted ranks
-    are sorted.
+    Rows are counted per range; only rows of the one or two ranges that hold the wanted ranks
+    are then shuffled, folded to distinct values and sorted.
     """
-    levels = (
-        frame.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    values = frame.select(F.col(column).cast("double").alias("value"))
-    cuts_source = values.where(F.col("value").isNotNull())
-    ranged = _ranged_levels(levels, cuts_source, ranges)
+    rows = frame.select(F.col(column).cast("double").alias("value"), F.lit(1).alias("n"))
+    rows = rows.where(F.col("value").isNotNull())
+    ranged = _find_ranges(rows, "value", None, ranges).assign(rows)
     position = (F.col("n_total") - 1) * F.lit(q)
-    offsets = _range_offsets(ranged, ["n"], descending=False)
-    holds_rank = (F.col("__n_before") <= F.ceil(position)) & (
-        F.col("__n_through") > F.floor(position)
+    offsets = _range_offsets(ranged, ["n"], descending=False).where(
+        (F.col("__n_before") <= F.ceil(position)) & (F.col("__n_through") > F.floor(position))
+    )
+    levels = (
+        ranged.join(F.broadcast(offsets), [_RANGE, _PART])
+        .groupBy(_RANGE, "value", "__n_before", "n_total")
+        .agg(F.sum("n").alias("n"))
     )
     within = (
-        Window.partitionBy(_RANGE, _PART)
+        Window.partitionBy(_RANGE)
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = (
-        ranged.join(F.broadcast(offsets.where(holds_rank)), [_RANGE, _PART])
-        .withColumn("through", F.sum("n").over(within) + F.col("__n_before"))
-        .withColumn("position", position)
-    )
+    placed = levels.withColumn("through", F.sum("n").over(within) + F.col("__n_before"))
     low, high, fraction = _interpolation_points(
-        F.col("value"), F.col("through") - F.col("n"), F.col("through"), F.col("position")
+        F.col("value"), F.col("through") - F.col("n"), F.col("through"), position
     )
     return placed.agg(low.alias("low"), high.alias("high"), fraction.alias("fraction")).select(
         interpolate(F.col("low"), F.col("high"), F.col("fraction")).alias(output)
     )
 
 
-def _ranged_levels(levels: DataFrame, values: DataFrame, ranges: int | None) -> DataFrame:
-    """Ranges for distinct ``value`` rows, balanced by the rows behind them."""
-    ranges = ranges or _range_count(levels)
-    probabilities = [i / ranges for i in range(1, ranges)]
-    cuts = values.approxQuantile("value", probabilities, 1.0 / (4 * ranges)) if ranges > 1 else []
-    return _with_ranges(levels, "value", sorted(set(cuts)), _RANGE).withColumn(_PART, F.lit(0))
-
-
 def _interpolation_points(
     value: Column, before: Column, through: Column, position: Column
 ) -> tuple[Column, Column, Column]:

@@ -8,66 +8,66 @@ comparison with one cut-off per stratum, so wide rows are never shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.contract import SEED, TEST_PERCENT
 
-_PREFIX_DIGITS = 4
+_PREFIX_DIGITS = 3
 
 
 def hash_order(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
-def _test_quotas(strata: DataFrame, percent: int) -> DataFrame:
-    """Rows to take per stratum: the rounded-up total, shared by largest remainder.
+def _place(hashed: Column, key: str) -> Column:
+    return F.struct(hashed.alias("hash"), F.col(key).alias("key"))
 
-    ``strata`` has one row per class, so its windows see a few rows.
-    """
+
+def _with_test_quotas(cells: DataFrame, percent: int) -> DataFrame:
+    """Add ``take``, the rows to take per stratum: the rounded-up total by largest remainder."""
     everything = Window.partitionBy()
-    sized = strata.withColumn("take_all", F.expr(f"({percent} * n_all + 99) div 100"))
-    shared = sized.withColumn(
-        "base", F.expr("cast(take_all as decimal(18,0)) * cast(n as decimal(18,0)) div n_all")
-    ).withColumn(
-        "remainder",
-        F.expr("(cast(take_all as decimal(18,0)) * cast(n as decimal(18,0))) % n_all"),
-    )
-    place = F.row_number().over(Window.orderBy(F.desc("remainder"), F.asc("stratum")))
-    left_over = F.col("take_all") - F.sum("base").over(everything)
-    return shared.select(
-        "stratum", (F.col("base") + F.when(place <= left_over, 1).otherwise(0)).alias("take")
+    once = F.col("through") == F.col("n")
+    exact = "cast(take_all as decimal(18,0)) * cast(n_stratum as decimal(18,0))"
+    shared = (
+        cells.withColumn("n_all", F.sum("n").over(everything))
+        .withColumn("take_all", F.expr(f"({percent} * n_all + 99) div 100"))
+        .withColumn("base", F.expr(f"({exact}) div n_all"))
+        .withColumn("remainder", F.expr(f"({exact}) % n_all"))
     )
+    place = F.dense_rank().over(Window.orderBy(F.desc("remainder"), F.asc("stratum")))
+    left_over = F.col("take_all") - F.sum(F.when(once, F.col("base"))).over(everything)
+    return shared.withColumn("take", F.col("base") + F.when(place <= left_over, 1).otherwise(0))
 
 
-def _cut_offs(rows: DataFrame, quotas_of) -> DataFrame:
-    """Last (hash, key) to take in each stratum."""
-    cells = rows.groupBy("stratum", F.substring("hash", 1, _PREFIX_DIGITS).alias("prefix")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    strata = (
-        cells.groupBy("stratum")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("n_all", F.sum("n").over(Window.partitionBy()))
+def _cut_offs(rows: DataFrame, with_quotas: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Last (hash, key) to take in each stratum.
+
+    There are 4,096 hash prefixes, so the windows see at most that many rows per stratum, and
+    the rows ranked afterwards are about one in 4,096.
+    """
+    in_stratum = Window.partitionBy("stratum")
+    cells = (
+        rows.groupBy("stratum", F.substring("hash", 1, _PREFIX_DIGITS).alias("prefix"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("through", F.sum("n").over(in_stratum.orderBy("prefix")))
+        .withColumn("n_stratum", F.sum("n").over(in_stratum))
     )
-    by_prefix = Window.partitionBy("stratum").orderBy("prefix")
+    before = F.col("through") - F.col("n")
     boundary = (
-        cells.withColumn("through", F.sum("n").over(by_prefix))
-        .join(F.broadcast(quotas_of(strata)), "stratum")
-        .where((F.col("through") - F.col("n") < F.col("take")) & (F.col("take") <= F.col("through")))
-        .select(
-            "stratum", "prefix", (F.col("take") - F.col("through") + F.col("n")).alias("needed")
-        )
+        with_quotas(cells)
+        .where((before < F.col("take")) & (F.col("take") <= F.col("through")))
+        .select("stratum", "prefix", (F.col("take") - before).alias("needed"))
     )
     ranked = (
-        rows.withColumn("prefix", F.substring("hash", 1, _PREFIX_DIGITS))
-        .join(F.broadcast(boundary), ["stratum", "prefix"])
-        .withColumn(
-            "place", F.row_number().over(Window.partitionBy("stratum").orderBy("hash", "key"))
-        )
+        rows.join(F.broadcast(boundary), "stratum")
+        .where(F.col("hash").startswith(F.col("prefix")))
+        .withColumn("place", F.row_number().over(in_stratum.orderBy("hash", "key")))
     )
     return ranked.where(F.col("place") == F.col("needed")).select(
-        "stratum", F.col("hash").alias("last_hash"), F.col("key").alias("last_key")
+        "stratum", F.struct("hash", "key").alias("last")
     )
 
 
@@ -84,10 +84,8 @@ def stratified_split(
     """
     hashed = hash_order(key, seed)
     rows = frame.select(F.col(label).alias("stratum"), hashed.alias("hash"), F.col(key).alias("key"))
-    cut_offs = _cut_offs(rows, lambda strata: _test_quotas(strata, percent))
-    taken = (hashed < F.col("last_hash")) | (
-        (hashed == F.col("last_hash")) & (F.col(key) <= F.col("last_key"))
-    )
+    cut_offs = _cut_offs(rows, lambda cells: _with_test_quotas(cells, percent))
+    taken = _place(hashed, key) <= F.col("last")
     marked = frame.join(
         F.broadcast(cut_offs), F.col(label) == F.col("stratum"), "left"
     )
@@ -101,10 +99,8 @@ def hash_sample(frame: DataFrame, size: int, key: str = "account_id", seed: int
     hashed = hash_order(key, seed)
     rows = frame.select(F.lit(0).alias("stratum"), hashed.alias("hash"), F.col(key).alias("key"))
 
-    def quota(strata: DataFrame) -> DataFrame:
-        return strata.select("stratum", F.least(F.lit(size), F.col("n")).alias("take"))
+    def quota(cells: DataFrame) -> DataFrame:
+        return cells.withColumn("take", F.least(F.lit(size), F.col("n_stratum")))
 
-    cut_off = _cut_offs(rows, quota)
-    last_hash = cut_off.select("last_hash").scalar()
-    last_key = cut_off.select("last_key").scalar()
-    return frame.where((hashed < last_hash) | ((hashed == last_hash) & (F.col(key) <= last_key)))
+    last = _cut_offs(rows, quota).select("last").scalar()
+    return frame.where(_place(hashed, key) <= last)

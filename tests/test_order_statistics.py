@@ -43,7 +43,7 @@ def test_a_heavy_value_is_split_into_several_parts(spark):
     frame = spark.range(600).select(
         "id", F.when(F.col("id") % 3 == 0, 0.5).otherwise(F.rand(1)).alias("score")
     )
-    cut = order_statistics._cut_into_ranges(frame, "score", "id", 16)
+    cut = order_statistics._find_ranges(frame, "score", "id", 16).assign(frame)
     sizes = [r["count"] for r in cut.groupBy("__range", "__part").count().collect()]
     assert max(sizes) < 120
 

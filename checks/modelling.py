@@ -133,7 +133,7 @@ def assemble(spark, sf):
     with_tables("viewing")
     + "SELECT c_custkey AS account_id, CAST(viewing_trend_3mo IS NULL AS DOUBLE)"
     " AS viewing_trend_3mo_missing, coalesce(viewing_trend_3mo,"
-    " (SELECT quantile_disc(viewing_trend_3mo, 0.5) FROM viewing)) AS viewing_trend_3mo_filled"
+    " (SELECT median(viewing_trend_3mo) FROM viewing)) AS viewing_trend_3mo_filled"
     " FROM customer LEFT JOIN viewing ON c_custkey = account_id",
 )
 def impute_with_flag(spark, sf):

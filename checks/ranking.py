@@ -393,19 +393,28 @@ def retention_targets(spark, sf):
 # --- segments on fixed assignments ------------------------------------------
 
 
-def _silhouette_sql() -> str:
-    distance = "sqrt(" + " + ".join(f"(x.{c} - y.{c}) ** 2" for c in VECTOR_COLUMNS) + ")"
+_SQUARED = "(" + " + ".join(f"(x.{c} - y.{c}) ** 2" for c in VECTOR_COLUMNS) + ")"
+
+
+def _silhouette_ctes(points: str, distance: str) -> str:
     return with_tables(
         "vectors",
-        sampled="SELECT * FROM vectors ORDER BY md5(concat(account_id, ':42')), account_id LIMIT 5000",
+        points=points,
         gaps=f"SELECT x.account_id, x.segment AS own, y.segment AS other, sum({distance}) AS total,"
-        " count(*) AS n FROM sampled x CROSS JOIN sampled y GROUP BY 1, 2, 3",
+        " count(*) AS n FROM points x CROSS JOIN points y GROUP BY 1, 2, 3",
         sides="SELECT account_id, max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS a,"
         " min(CASE WHEN own <> other THEN total / n END) AS b FROM gaps GROUP BY account_id",
-    ) + (
-        "SELECT 'segment' AS assignment, "
-        + half_away("avg(coalesce((b - a) / nullif(greatest(a, b), 0), 0))", 6)
-        + " AS silhouette, count(*) AS n_sampled FROM sides"
+    )
+
+
+_MEAN_SILHOUETTE = half_away("avg(coalesce((b - a) / nullif(greatest(a, b), 0), 0))", 6)
+
+
+def _silhouette_sql() -> str:
+    sampled = "SELECT * FROM vectors ORDER BY md5(concat(account_id, ':42')), account_id LIMIT 5000"
+    return _silhouette_ctes(sampled, f"sqrt{_SQUARED}") + (
+        f"SELECT 'segment' AS assignment, {_MEAN_SILHOUETTE} AS silhouette, count(*) AS n_sampled"
+        " FROM sides"
     )
 
 
@@ -415,9 +424,14 @@ def silhouette_sampled(spark, sf):
     return _round6(measured, "silhouette")
 
 
-@query("silhouette_full")
+@query(
+    "silhouette_full",
+    _silhouette_ctes("SELECT * FROM vectors", _SQUARED)
+    + f"SELECT 'segment' AS assignment, {_MEAN_SILHOUETTE} AS silhouette_squared FROM sides",
+)
 def silhouette_full(spark, sf):
-    return segments.full_silhouette(vectors(spark, sf), VECTOR_COLUMNS, "segment")
+    measured = segments.full_silhouette(vectors(spark, sf), VECTOR_COLUMNS, "segment")
+    return _round6(measured, "silhouette_squared")
 
 
 @query(

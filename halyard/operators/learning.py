@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
     StringIndexer,
@@ -18,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halyard.contract import CATEGORICAL_COLUMNS, GENRES, SEED, affinity_columns, numeric_columns
+from halyard.operators.order_statistics import quantiles
 from halyard.operators.targeting import TOP_DRIVERS, top_drivers
 from halyard.sources.workspace import ensure_checkpoint_dir
 
@@ -81,21 +81,32 @@ def missing_flags(columns: Sequence[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {flags} FROM __THIS__")
 
 
+class MedianFill(Estimator):
+    """Learns exact medians; the fitted stage adds ``<c>_filled`` with nulls replaced by them.
+
+    The fitted stage is a plain SQL transformer, so it is saved with the pipeline. A column
+    without any value is filled with 0.
+    """
+
+    def __init__(self, columns: Sequence[str]):
+        super().__init__()
+        self.columns = list(columns)
+
+    def _fit(self, dataset: DataFrame) -> SQLTransformer:
+        medians = quantiles(dataset, self.columns, 0.5).first()
+        filled = ", ".join(
+            f"coalesce(`{c}`, {medians[c] or 0.0!r}D) AS `{c}_filled`" for c in self.columns
+        )
+        return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+
 def impute_stages(columns: Sequence[str]) -> list:
     """Flag missing values, then fill them with the training median.
 
     Spark's tree learners reject NaN. The trend and the shares are the columns that can be
     missing: an idle month, or no viewing at all.
     """
-    return [
-        missing_flags(columns),
-        Imputer(
-            strategy="median",
-            inputCols=list(columns),
-            outputCols=[f"{c}_filled" for c in columns],
-            relativeError=0.0001,
-        ),
-    ]
+    return [missing_flags(columns), MedianFill(columns)]
 
 
 def nullable_columns(genres: Sequence[str] = GENRES) -> list[str]:

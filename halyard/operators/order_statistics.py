@@ -19,11 +19,40 @@ from pyspark.sql import functions as F
 
 from halyard.functions.scalar import safe_divide
 
+MAX_RANGES = 1_000
+SKETCH_GROUPS = 200
 _RANGE, _PART = "__range", "__part"
 
 
 def _range_count(frame: DataFrame) -> int:
-    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(partitions, MAX_RANGES)
+
+
+def _cut_points(frame: DataFrame, columns: Sequence[str], ranges: int) -> list[list[float]]:
+    """About ``ranges`` balanced cut points per column; a heavy value appears several times.
+
+    Quantile sketches are merged in up to ``SKETCH_GROUPS`` groups of input partitions, so no
+    task and not the driver merges one per input partition. The driver gets at most
+    ``SKETCH_GROUPS * MAX_RANGES`` numbers per column and takes every n-th of them.
+    """
+    if ranges < 2:
+        return [[] for _ in columns]
+    probabilities = [i / ranges for i in range(1, ranges)]
+    sketches = [
+        F.percentile_approx(
+            F.nanvl(F.col(c).cast("double"), F.lit(None)), probabilities, 4 * ranges
+        ).alias(c)
+        for c in columns
+    ]
+    groups = frame.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(*sketches)
+    collected = groups.select(*columns).collect()
+
+    def thinned(column: str) -> list[float]:
+        merged = sorted(v for row in collected for v in row[column] or ())
+        return [merged[len(merged) * i // ranges] for i in range(1, ranges)] if merged else []
+
+    return [thinned(c) for c in columns]
 
 
 def _with_ranges(frame: DataFrame, column: str, cuts: Sequence[float], output: str) -> DataFrame:
@@ -59,17 +88,15 @@ class _Ranges:
 def _find_ranges(
     frame: DataFrame, order_by: str, tie_break: str | None, ranges: int | None
 ) -> _Ranges:
-    """Balanced ranges from approximate quantiles.
+    """Balanced ranges from approximate quantiles; any cut points give the same totals.
 
-    At most ``ranges - 1`` numbers per column reach the driver, and any choice of them gives the
-    same totals. A value that fills several quantiles gets a range of its own, which the
-    tie-break splits into as many parts as the value fills.
+    A value that fills several quantiles gets a range of its own, which the tie-break splits
+    into as many parts as the value fills.
     """
     ranges = ranges or _range_count(frame)
-    probabilities = [i / ranges for i in range(1, ranges)]
     columns = [order_by] if tie_break is None else [order_by, tie_break]
-    found = frame.approxQuantile(columns, probabilities, 1.0 / (4 * ranges)) if ranges > 1 else []
-    repeats = Counter(float(c) for c in found[0]) if found else Counter()
+    found = _cut_points(frame, columns, ranges)
+    repeats = Counter(found[0])
     heavy = {value: n for value, n in repeats.items() if n > 1}
     if tie_break is None or not heavy:
         return _Ranges(order_by, sorted(repeats), [], None, [])
@@ -153,9 +180,27 @@ def quantile(
     Rows are counted per range; only rows of the one or two ranges that hold the wanted ranks
     are then shuffled, folded to distinct values and sorted.
     """
+    return quantiles(frame, [column], q, ranges).withColumnRenamed(column, output)
+
+
+def quantiles(
+    frame: DataFrame, columns: Sequence[str], q: float, ranges: int | None = None
+) -> DataFrame:
+    """The same quantile of several columns, in one row; ranges are found for all in one pass."""
+    cut_points = _cut_points(frame, columns, ranges or _range_count(frame))
+    found = [
+        _quantile(frame, c, q, _Ranges("value", sorted(set(cuts)), [], None, []))
+        for c, cuts in zip(columns, cut_points)
+    ]
+    if len(found) == 1:
+        return found[0].withColumnRenamed("quantile", columns[0])
+    one = frame.sparkSession.range(1)
+    return one.select(*[f.scalar().alias(c) for c, f in zip(columns, found)])
+
+
+def _quantile(frame: DataFrame, column: str, q: float, ranges: _Ranges) -> DataFrame:
     rows = frame.select(F.col(column).cast("double").alias("value"), F.lit(1).alias("n"))
-    rows = rows.where(F.col("value").isNotNull())
-    ranged = _find_ranges(rows, "value", None, ranges).assign(rows)
+    ranged = ranges.assign(rows.where(F.col("value").isNotNull()))
     position = (F.col("n_total") - 1) * F.lit(q)
     offsets = _range_offsets(ranged, ["n"], descending=False).where(
         (F.col("__n_before") <= F.ceil(position)) & (F.col("__n_through") > F.floor(position))
@@ -175,7 +220,7 @@ def quantile(
         F.col("value"), F.col("through") - F.col("n"), F.col("through"), position
     )
     return placed.agg(low.alias("low"), high.alias("high"), fraction.alias("fraction")).select(
-        interpolate(F.col("low"), F.col("high"), F.col("fraction")).alias(output)
+        interpolate(F.col("low"), F.col("high"), F.col("fraction")).alias("quantile")
     )
 
 

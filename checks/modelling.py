@@ -20,6 +20,7 @@ from checks.tables import (
     event_activity,
     half_away,
     line_activity,
+    once,
     planted_subscribers,
     read,
     subscribers,
@@ -37,16 +38,6 @@ from halyard.sources.workspace import workspace_path
 from halyard.streaming import score_stream
 
 FEW_ROUNDS = {"maxIter": 8}
-_kept: dict[tuple, object] = {}
-
-
-def _once(spark: SparkSession, sf: str, name: str, make):
-    """Share a stored frame or fitted model between the queries of one session."""
-    key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _kept:
-        _kept[key] = make()
-    return _kept[key]
-
 
 def _viewing(spark: SparkSession, sf: str) -> DataFrame:
     return viewing_features(line_activity(spark, sf), LINE_GENRES, digits=HOUR_DIGITS)
@@ -59,7 +50,7 @@ def _churn_frame(spark: SparkSession, sf: str) -> DataFrame:
         )
         return materialise(splitting.stratified_split(view), workspace_path(spark, "churn-frame"))
 
-    return _once(spark, sf, "churn_frame", make)
+    return once(spark, sf, "churn_frame", make)
 
 
 def _churn_model(spark: SparkSession, sf: str) -> PipelineModel:
@@ -68,7 +59,7 @@ def _churn_model(spark: SparkSession, sf: str) -> PipelineModel:
             learning.churn_pipeline(LINE_GENRES, **FEW_ROUNDS), _churn_frame(spark, sf)
         )
 
-    return _once(spark, sf, "churn_model", make)
+    return once(spark, sf, "churn_model", make)
 
 
 def _account_counts_sql(columns: str, where: str = "") -> str:
@@ -227,7 +218,7 @@ def _affinity(spark: SparkSession, sf: str) -> DataFrame:
         columns = ["account_id", *affinity_columns(LINE_GENRES)]
         return materialise(viewing.select(*columns), workspace_path(spark, "affinity"))
 
-    return _once(spark, sf, "affinity", make)
+    return once(spark, sf, "affinity", make)
 
 
 def _sweep(spark: SparkSession, sf: str) -> segments.KMeansSweep:
@@ -236,7 +227,7 @@ def _sweep(spark: SparkSession, sf: str) -> segments.KMeansSweep:
     def make() -> segments.KMeansSweep:
         return segments.kmeans_sweep(_affinity(spark, sf), columns, range(3, 5), restarts=2)
 
-    return _once(spark, sf, "sweep", make)
+    return once(spark, sf, "sweep", make)
 
 
 @query("kmeans_sweep")

@@ -1,10 +1,15 @@
 """The generated tables, mapped onto the subscriber and activity contract.
 
-Each mapping exists twice: as DataFrames for Spark and as SQL text for DuckDB.
+Each mapping exists twice: as DataFrames for Spark and as SQL text for DuckDB. The base tables
+(subscribers and activity) are stored once per application, as they would be in production; every
+query computes its own features from them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +18,8 @@ from halyard.functions import churn_scorecard, exact_sum, flag, round_half_away,
 from halyard.functions.scorecard import CHURN_WEIGHTS, UPSELL_WEIGHTS
 from halyard.operators.order_statistics import zscore
 from halyard.operators.training import with_base_price
-from halyard.sources.tables import conform
+from halyard.sources.tables import conform, materialise
+from halyard.sources.workspace import workspace_path
 
 TOP_PLAN = "AUTOMOBILE"
 PRICES = {
@@ -46,6 +52,30 @@ SCHEMAS = {
 }
 
 
+_stored: dict[tuple[str, str, str], object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], object]):
+    """Share what ``make`` gives between the queries of one Spark application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        _stored[key] = make()
+    return _stored[key]
+
+
+def stored(mapping: Callable[[SparkSession, str], DataFrame]):
+    """Make a mapping a base table: stored on first use, as the tables of a warehouse are."""
+
+    @wraps(mapping)
+    def table(spark: SparkSession, sf_dir: str) -> DataFrame:
+        def make() -> DataFrame:
+            return materialise(mapping(spark, sf_dir), workspace_path(spark, mapping.__name__))
+
+        return once(spark, sf_dir, mapping.__name__, make)
+
+    return table
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A generated table with its declared schema: no job to infer one from file footers."""
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
@@ -76,10 +106,12 @@ def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def event_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _monthly(event_rows(spark, sf_dir), EVENT_GENRES)
 
 
+@stored
 def line_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as activity of the ordering customer; this is the large one."""
     lines = read(spark, sf_dir, "lineitem").select(
@@ -160,6 +192,7 @@ def _base_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@stored
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as subscribers. Engagement of the scorecards is the number of early orders."""
     accounts = zscore(_base_accounts(spark, sf_dir), ["engagement"])
@@ -172,6 +205,7 @@ def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(scored, SUBSCRIBERS, allow_extra=True)
 
 
+@stored
 def planted_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscribers whose labels follow the scorecards, with about 6% of them flipped."""
     base = subscribers(spark, sf_dir)

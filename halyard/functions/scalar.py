@@ -56,9 +56,8 @@ def first_largest(candidates: Mapping[str, Column]) -> Column:
     The null check is explicit: over a literal array ``element_at`` does not pass a null index on.
     """
     names = F.array(*[F.lit(name) for name in candidates])
-    values = F.array(
-        *[F.nanvl(column.cast("double"), F.lit(None).cast("double")) for column in candidates.values()]
-    )
+    nothing = F.lit(None).cast("double")
+    values = F.array(*[F.nanvl(c.cast("double"), nothing) for c in candidates.values()])
     largest = F.array_max(values)
     name = F.element_at(names, F.array_position(values, largest).cast("int"))
     return F.when(largest.isNotNull(), name)

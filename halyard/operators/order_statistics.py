@@ -102,7 +102,8 @@ def _find_ranges(
         return _Ranges(order_by, sorted(repeats), [], None, [])
     own_ranges = set(repeats) | {math.nextafter(v, math.inf) for v in heavy}
     step = max(1, ranges // max(heavy.values()))
-    return _Ranges(order_by, sorted(own_ranges), list(heavy), tie_break, sorted(set(found[1][::step])))
+    tie_cuts = sorted(set(found[1][::step]))
+    return _Ranges(order_by, sorted(own_ranges), list(heavy), tie_break, tie_cuts)
 
 
 def _sort_keys(order_by: str, tie_break: str | None, descending: bool) -> list[Column]:

@@ -199,7 +199,8 @@ def assign_segments(
     value; a segment's id is its place in that order.
     """
     centres = [tuple(float(x) for x in c) for c in model.stages[-1].clusterCenters()]
-    order = sorted(range(len(centres)), key=lambda i: (centres[i].index(max(centres[i])), centres[i]))
+    strongest = [c.index(max(c)) for c in centres]
+    order = sorted(range(len(centres)), key=lambda i: (strongest[i], centres[i]))
     stable = [order.index(i) for i in range(len(centres))]
     lookup = F.array(*[F.lit(s) for s in stable])
     return (

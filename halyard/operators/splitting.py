@@ -83,12 +83,12 @@ def stratified_split(
     ``key`` is unique and ``label`` is not null.
     """
     hashed = hash_order(key, seed)
-    rows = frame.select(F.col(label).alias("stratum"), hashed.alias("hash"), F.col(key).alias("key"))
+    rows = frame.select(
+        F.col(label).alias("stratum"), hashed.alias("hash"), F.col(key).alias("key")
+    )
     cut_offs = _cut_offs(rows, lambda cells: _with_test_quotas(cells, percent))
     taken = _place(hashed, key) <= F.col("last")
-    marked = frame.join(
-        F.broadcast(cut_offs), F.col(label) == F.col("stratum"), "left"
-    )
+    marked = frame.join(F.broadcast(cut_offs), F.col(label) == F.col("stratum"), "left")
     return marked.select(
         *[frame[c] for c in frame.columns], F.coalesce(taken, F.lit(False)).alias("is_test")
     )

@@ -37,7 +37,7 @@ def model(frame):
     return learning.fit(learning.churn_pipeline(LINE_GENRES, **ROUNDS), frame)
 
 
-def test_defaults_are_the_full_settings():
+def test_defaults_are_the_full_settings(spark):
     churn = learning.churn_pipeline().getStages()[-1]
     upsell = learning.propensity_pipeline().getStages()[-1]
     assert (churn.getMaxIter(), churn.getMaxDepth(), churn.getStepSize()) == (300, 5, 0.05)
@@ -146,8 +146,11 @@ def test_jobs_leave_their_tables(spark, tmp_path):
     assert drivers.count() == 15
 
     upsell = propensity_training_job(
-        subscribers, activity, str(tmp_path / "upsell"), top_plan=TOP_PLAN, **options, **ROUNDS
+        subscribers, activity, str(tmp_path / "upsell"), top_plan=TOP_PLAN, missing_month="null",
+        **options, **ROUNDS,
     )
+    trained = spark.read.parquet(str(tmp_path / "upsell" / "training_frame"))
+    assert trained.where("plan = 'AUTOMOBILE'").count() == 0
     row = upsell.metrics.first()
     assert row["n_eligible_accounts"] == row["n_train"] + row["n_test"]
     scores = spark.read.parquet(str(tmp_path / "upsell" / "scores"))

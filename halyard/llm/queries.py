@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halyard.llm import licences, mixing, quality, warc
+from halyard.llm import licences, mixing, quality, simhash, warc
 from halyard.llm.tables import read
 from halyard.llm.oracles import ORACLES  # noqa: F401
 from halyard.sources.workspace import workspace_path
@@ -14,6 +14,10 @@ from halyard.sources.workspace import workspace_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every source brought to the same share of as many documents as there are."""
     return mixing.mix_sources(read(spark, sf_dir, "documents"), with_copy=True)
@@ -37,5 +41,12 @@ def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op5_mix_sources, op6_quality_rules, op7_licence_scan, op8_warc_archive)
+    f.__name__: f
+    for f in (
+        op4_simhash_dedup,
+        op5_mix_sources,
+        op6_quality_rules,
+        op7_licence_scan,
+        op8_warc_archive,
+    )
 }

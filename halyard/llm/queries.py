@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halyard.llm import licences, mixing, quality, simhash, warc
+from halyard.llm import licences, mixing, quality, simhash, toxicity, warc
 from halyard.llm.tables import read
 from halyard.llm.oracles import ORACLES  # noqa: F401
 from halyard.sources.workspace import workspace_path
@@ -40,6 +40,12 @@ def op8_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_index(spark, path)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -48,5 +54,6 @@ QUERIES: dict[str, Query] = {
         op6_quality_rules,
         op7_licence_scan,
         op8_warc_archive,
+        op9_toxicity,
     )
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from halyard.llm import licences, mixing, quality, simhash, toxicity, warc
+from halyard.llm import licences, mixing, packing, quality, simhash, toxicity, warc
 from halyard.llm.tables import read
 from halyard.llm.oracles import ORACLES  # noqa: F401
 from halyard.sources.workspace import workspace_path
@@ -14,6 +14,10 @@ from halyard.sources.workspace import workspace_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op3_hilbert_packing,
         op4_simhash_dedup,
         op5_mix_sources,
         op6_quality_rules,

@@ -68,7 +68,18 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, {letters} AS payload_dige
   CASE WHEN keeper <> page_id THEN keeper END AS refers_to FROM k"""
 
 
+TOP_K_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  FROM s)
+SELECT * FROM r WHERE rank <= 10"""
+
+
 ORACLES = {
+    "op2_top_k": TOP_K_SQL,
     "op5_mix_sources": mixing_sql(),
     "op7_licence_scan": licence_sql(),
     "op8_warc_archive": warc_sql(),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from halyard.llm import licences, mixing, packing, quality, simhash, toxicity, warc
+from halyard.llm import licences, mixing, packing, quality, simhash, topk, toxicity, warc
 from halyard.llm.tables import read
 from halyard.llm.oracles import ORACLES  # noqa: F401
 from halyard.sources.workspace import workspace_path
@@ -14,6 +15,11 @@ from halyard.sources.workspace import workspace_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    is_query = F.col("vec_id") % topk.QUERY_STEP == 0
+    return topk.top_k(read(spark, sf_dir, "embeddings"), is_query)
+
+
 def op3_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
@@ -53,6 +59,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_top_k,
         op3_hilbert_packing,
         op4_simhash_dedup,
         op5_mix_sources,

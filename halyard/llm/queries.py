@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import licences, mixing, packing, quality, simhash, topk, toxicity, warc
+from halyard.llm import licences, mixing, packing, privacy, quality, simhash, topk, toxicity, warc
 from halyard.llm.tables import read
 from halyard.llm.oracles import ORACLES  # noqa: F401
 from halyard.sources.workspace import workspace_path
@@ -15,6 +15,10 @@ from halyard.sources.workspace import workspace_path
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.personal_data(read(spark, sf_dir, "documents"))
+
+
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_query = F.col("vec_id") % topk.QUERY_STEP == 0
     return topk.top_k(read(spark, sf_dir, "embeddings"), is_query)
@@ -59,6 +63,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_personal_data,
         op2_top_k,
         op3_hilbert_packing,
         op4_simhash_dedup,

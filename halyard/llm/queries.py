@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import licences, mixing, packing, privacy, quality, simhash, topk, toxicity, warc
+from halyard.llm import katz, licences, mixing, packing, privacy, quality, simhash, topk, toxicity, warc
 from halyard.llm.tables import read
 from halyard.llm.oracles import ORACLES  # noqa: F401
 from halyard.sources.workspace import workspace_path
@@ -60,6 +60,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score_documents(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -72,5 +76,6 @@ QUERIES: dict[str, Query] = {
         op7_licence_scan,
         op8_warc_archive,
         op9_toxicity,
+        op10_katz_scores,
     )
 }

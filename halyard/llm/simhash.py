@@ -99,10 +99,13 @@ def _flip(code: Column, place: Column) -> Column:
     return code.bitwiseXOR(bit)
 
 
-def _halves(fps: DataFrame) -> DataFrame:
-    """Two rows per fingerprint: ``side``, ``code`` (31 bits), ``free`` (one bit), ``s``."""
-    low = F.col("fp").bitwiseAND(F.lit((1 << HALF) - 1))
-    high = F.shiftrightunsigned("fp", HALF)
+def _halves(fps: DataFrame, key: str, words: list[Column]) -> DataFrame:
+    """Two rows per 64-bit word: ``key``, ``side``, ``code`` (31 bits), ``free`` (one bit) and
+    the syndrome ``s``."""
+    halves = []
+    for word in words:
+        low = word.bitwiseAND(F.lit((1 << HALF) - 1))
+        halves += [low, F.shiftrightunsigned(word, HALF)]
     sides = F.array(
         *[
             F.struct(
@@ -110,25 +113,25 @@ def _halves(fps: DataFrame) -> DataFrame:
                 half.bitwiseAND(F.lit((1 << CODE) - 1)).alias("code"),
                 F.shiftright(half, CODE).alias("free"),
             )
-            for side, half in enumerate((low, high))
+            for side, half in enumerate(halves)
         ]
     )
-    return fps.select("fp", F.inline(sides)).withColumn("s", _syndrome(F.col("code")))
+    return fps.select(key, F.inline(sides)).withColumn("s", _syndrome(F.col("code")))
 
 
 def _anchor(code: Column, free: Column) -> Column:
     return F.shiftleft("side", HALF) + F.shiftleft(free, CODE) + code
 
 
-def home_anchors(fps: DataFrame) -> DataFrame:
-    """``fp`` and ``anchor``: the nearest code word of each half, within the covering radius."""
-    return _halves(fps).select(
-        "fp", _anchor(_flip(F.col("code"), F.col("s")), F.col("free")).alias("anchor")
+def home_anchors(fps: DataFrame, key: str, words: list[Column]) -> DataFrame:
+    """``key`` and ``anchor``: the nearest code word of each half, within the covering radius."""
+    return _halves(fps, key, words).select(
+        key, _anchor(_flip(F.col("code"), F.col("s")), F.col("free")).alias("anchor")
     )
 
 
-def near_anchors(fps: DataFrame) -> DataFrame:
-    """``fp`` and ``anchor``: every code word within radius plus one of a half.
+def near_anchors(fps: DataFrame, key: str, words: list[Column]) -> DataFrame:
+    """``key`` and ``anchor``: every code word within radius plus one of a half.
 
     With the free bit as it is: the nearest word and, outside the code, the words across two
     places whose exclusive or is the syndrome. With the free bit flipped: the nearest word.
@@ -146,7 +149,7 @@ def near_anchors(fps: DataFrame) -> DataFrame:
         lambda i: _anchor(_flip(_flip(F.col("code"), i), i.bitwiseXOR(F.col("s"))), F.col("free")),
     )
     anchors = F.concat(F.array(home, across), beside)
-    return _halves(fps).select("fp", F.explode(anchors).alias("anchor"))
+    return _halves(fps, key, words).select(key, F.explode(anchors).alias("anchor"))
 
 
 def links_between(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -159,8 +162,8 @@ def links_between(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """
     if not 0 <= distance <= 3:
         raise ValueError("two halves cover distances up to 3")
-    homes = home_anchors(fps).withColumnRenamed("fp", "b")
-    near = near_anchors(fps).withColumnRenamed("fp", "a")
+    homes = home_anchors(fps, "fp", [F.col("fp")]).withColumnRenamed("fp", "b")
+    near = near_anchors(fps, "fp", [F.col("fp")]).withColumnRenamed("fp", "a")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     met = near.join(homes, "anchor").where((F.col("a") > F.col("b")) & (apart <= distance))
     return met.select("a", "b").distinct()

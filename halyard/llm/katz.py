@@ -351,7 +351,8 @@ def _scored(blocks: DataFrame, answers: DataFrame, order: int, parts: int, disco
         at = grams[0].at[pending]
         chance = np.where(counts[0][at] > 0, chances[0][at], unknown)
         log[pending] = np.log10(chance)
-        ask_doc, ask_place, ask_times, offset = [], [], [], 0
+        nothing, offset = np.zeros(0, np.int64), 0
+        ask_doc, ask_place, ask_times = [nothing], [nothing], [nothing]
         for n in range(2, order + 1):
             keys, place = np.unique(asked[n][0], return_inverse=True)
             pairs, times = np.unique(asked[n][1] * max(1, len(keys)) + place, return_counts=True)

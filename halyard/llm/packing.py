@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import base64
 import math
-import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -44,11 +43,6 @@ BUCKETS, DIMENSIONS, DEPTH = 1024, 3, 13
 TIE_BITS = 14
 #: Ranges per shuffle partition, so that hashing ranges to partitions evens out.
 RANGES_PER_PARTITION = 4
-MEMO = 300_000
-#: A space before anything but white space always begins a new token, so pieces cut there can be
-#: tokenised, and remembered, one by one.
-CUT = re.compile(r" (?=\S)")
-PLAIN = re.compile(r"\s{2}|^\s|\s\Z")
 
 
 @cache
@@ -60,33 +54,10 @@ def _encoding(path: str) -> tiktoken.Encoding:
     )
 
 
-class Tokenizer:
+def encode(text: str, path: str = RANKS) -> bytes:
     """Byte-level BPE ids, equal to the JSON form of the same vocabulary, as little-endian
-    unsigned 16-bit integers. Remembers the ids of pieces between spaces."""
-
-    def __init__(self, path: str = RANKS):
-        self.encoding = _encoding(path)
-        self.memo: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        ids = self.encoding.encode(text, allowed_special="all")
-        return np.array(ids, "<u2").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        if any(special in text for special in SPECIAL):
-            return self._ids(text)
-        pieces = text.split(" ") if not PLAIN.search(text) else CUT.split(text)
-        memo, out = self.memo, [self._ids(pieces[0])]
-        for piece in pieces[1:]:
-            ids = memo.get(piece)
-            if ids is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                ids = self._ids(" " + piece)
-                if len(piece) < 64:
-                    memo[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+    unsigned 16-bit integers."""
+    return _encoding(path).encode_to_numpy(text, allowed_special="all").astype("<u2").tobytes()
 
 
 def projection(seed: int = 7) -> np.ndarray:
@@ -141,9 +112,9 @@ def tokenised(docs: DataFrame, path: str = RANKS) -> DataFrame:
     )
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, matrix, end = Tokenizer(path), projection(), np.array([END_ID], "<u2").tobytes()
+        matrix, end = projection(), np.array([END_ID], "<u2").tobytes()
         for batch in batches:
-            ids = [tokenizer.encode(t.as_py() or "") + end for t in batch.column("text")]
+            ids = [encode(t.as_py() or "", path) + end for t in batch.column("text")]
             arrays = [np.frombuffer(x, "<u2") for x in ids]
             points = np.array([point(a, matrix) for a in arrays]).reshape(-1, DIMENSIONS)
             columns = [

@@ -19,40 +19,56 @@ from pyspark.sql import functions as F
 
 from halyard.functions.scalar import safe_divide
 
-MAX_RANGES = 1_000
 SKETCH_GROUPS = 200
 _RANGE, _PART = "__range", "__part"
 
 
 def _range_count(frame: DataFrame) -> int:
-    partitions = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(partitions, MAX_RANGES)
+    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _finite(column: str) -> Column:
+    value = F.col(f"`{column}`").cast("double")
+    return F.when(F.abs(value) < math.inf, value)
+
+
+def _weighted_cuts(sketches: list[tuple[int, Sequence[float]]], ranges: int) -> list[float]:
+    """Every n-th point of several sketches, each point worth its share of the sketch's rows."""
+    points = sorted((v, rows / len(values)) for rows, values in sketches for v in values)
+    total, cuts, before = sum(w for _, w in points), [], 0.0
+    for value, weight in points:
+        before += weight
+        while len(cuts) < ranges - 1 and before >= total * (len(cuts) + 1) / ranges:
+            cuts.append(value)
+    return cuts
 
 
 def _cut_points(frame: DataFrame, columns: Sequence[str], ranges: int) -> list[list[float]]:
     """About ``ranges`` balanced cut points per column; a heavy value appears several times.
 
-    Quantile sketches are merged in up to ``SKETCH_GROUPS`` groups of input partitions, so no
-    task and not the driver merges one per input partition. The driver gets at most
-    ``SKETCH_GROUPS * MAX_RANGES`` numbers per column and takes every n-th of them.
+    Quantile sketches are made in up to ``SKETCH_GROUPS`` groups of input partitions, so no
+    task and not the driver merges one per input partition, and count as many rows as they
+    saw: a group of a few rows hardly moves a cut. The driver gets at most ``SKETCH_GROUPS``
+    numbers per range and column. Infinite values and NaN are not counted; they fall into the
+    first or last range.
     """
     if ranges < 2:
         return [[] for _ in columns]
     probabilities = [i / ranges for i in range(1, ranges)]
     sketches = [
-        F.percentile_approx(
-            F.nanvl(F.col(c).cast("double"), F.lit(None)), probabilities, 4 * ranges
-        ).alias(c)
-        for c in columns
+        expression
+        for i, c in enumerate(columns)
+        for expression in (
+            F.count(_finite(c)).alias(f"rows{i}"),
+            F.percentile_approx(_finite(c), probabilities, 4 * ranges).alias(f"points{i}"),
+        )
     ]
     groups = frame.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(*sketches)
-    collected = groups.select(*columns).collect()
-
-    def thinned(column: str) -> list[float]:
-        merged = sorted(v for row in collected for v in row[column] or ())
-        return [merged[len(merged) * i // ranges] for i in range(1, ranges)] if merged else []
-
-    return [thinned(c) for c in columns]
+    collected = groups.collect()
+    return [
+        _weighted_cuts([(r[f"rows{i}"], r[f"points{i}"]) for r in collected if r[f"rows{i}"]], ranges)
+        for i in range(len(columns))
+    ]
 
 
 def _with_ranges(frame: DataFrame, column: str, cuts: Sequence[float], output: str) -> DataFrame:
@@ -94,16 +110,36 @@ def _find_ranges(
     into as many parts as the value fills.
     """
     ranges = ranges or _range_count(frame)
-    columns = [order_by] if tie_break is None else [order_by, tie_break]
-    found = _cut_points(frame, columns, ranges)
-    repeats = Counter(found[0])
+    (found,) = _cut_points(frame, [order_by], ranges)
+    repeats = Counter(found)
     heavy = {value: n for value, n in repeats.items() if n > 1}
     if tie_break is None or not heavy:
         return _Ranges(order_by, sorted(repeats), [], None, [])
     own_ranges = set(repeats) | {math.nextafter(v, math.inf) for v in heavy}
-    step = max(1, ranges // max(heavy.values()))
-    tie_cuts = sorted(set(found[1][::step]))
-    return _Ranges(order_by, sorted(own_ranges), list(heavy), tie_break, tie_cuts)
+    return _Ranges(
+        order_by, sorted(own_ranges), list(heavy), tie_break, _tie_cuts(frame, order_by, tie_break, heavy)
+    )
+
+
+def _tie_cuts(frame: DataFrame, order_by: str, tie_break: str, heavy: dict[float, int]) -> list[float]:
+    """Cuts of the tie-break that split the rows of each heavy value evenly.
+
+    They come from those rows alone, each value's in turn, so a value whose keys are all
+    recent, say, is still split. A value that fills n ranges adds 4 n cuts.
+    """
+    value = F.col(order_by).cast("double")
+    most = 4 * max(heavy.values())
+    probabilities = [i / most for i in range(1, most)]
+    sketched = (
+        frame.where(value.isin(list(heavy)))
+        .groupBy(value.alias("value"))
+        .agg(F.percentile_approx(F.col(tie_break).cast("double"), probabilities, 4 * most).alias("points"))
+    )
+    cuts: set[float] = set()
+    for row in sketched.collect():
+        wanted = 4 * heavy[row["value"]]
+        cuts.update(row["points"][most * i // wanted - 1] for i in range(1, wanted))
+    return sorted(cuts)
 
 
 def _sort_keys(order_by: str, tie_break: str | None, descending: bool) -> list[Column]:
@@ -188,40 +224,53 @@ def quantiles(
     frame: DataFrame, columns: Sequence[str], q: float, ranges: int | None = None
 ) -> DataFrame:
     """The same quantile of several columns, in one row; ranges are found for all in one pass."""
-    cut_points = _cut_points(frame, columns, ranges or _range_count(frame))
-    found = [
-        _quantile(frame, c, q, _Ranges("value", sorted(set(cuts)), [], None, []))
-        for c, cuts in zip(columns, cut_points)
-    ]
-    if len(found) == 1:
-        return found[0].withColumnRenamed("quantile", columns[0])
-    one = frame.sparkSession.range(1)
-    return one.select(*[f.scalar().alias(c) for c, f in zip(columns, found)])
+    ranges = ranges or _range_count(frame)
+    cut_points = _cut_points(frame, columns, ranges)
+    ranged = frame.select(*[F.col(f"`{c}`").cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    for i, cuts in enumerate(cut_points):
+        ranged = _with_ranges(ranged, f"v{i}", sorted(set(cuts)), f"r{i}")
+    values = F.array(
+        *[F.struct(F.lit(i).alias("c"), F.col(f"v{i}").alias("value"), F.col(f"r{i}").alias(_RANGE)) for i in range(len(columns))]
+    )
+    rows = ranged.select(F.inline(values)).where(F.col("value").isNotNull())
+    found = _placed_quantiles(rows, q)
+    return found.agg(
+        *[F.max(F.when(F.col("c") == i, F.col("quantile"))).alias(c) for i, c in enumerate(columns)]
+    )
 
 
-def _quantile(frame: DataFrame, column: str, q: float, ranges: _Ranges) -> DataFrame:
-    rows = frame.select(F.col(column).cast("double").alias("value"), F.lit(1).alias("n"))
-    ranged = ranges.assign(rows.where(F.col("value").isNotNull()))
+def _placed_quantiles(rows: DataFrame, q: float) -> DataFrame:
+    """``c`` and ``quantile`` of rows (c, value, range): two passes for all columns, one that
+    counts rows per range and one that sorts the one or two ranges that hold the ranks."""
+    of_column = Window.partitionBy("c")
+    running = of_column.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     position = (F.col("n_total") - 1) * F.lit(q)
-    offsets = _range_offsets(ranged, ["n"], descending=False).where(
-        (F.col("__n_before") <= F.ceil(position)) & (F.col("__n_through") > F.floor(position))
+    offsets = (
+        rows.groupBy("c", _RANGE)
+        .agg(F.count(F.lit(1)).alias("n_range"))
+        .withColumn("through", F.sum("n_range").over(running))
+        .withColumn("n_total", F.sum("n_range").over(of_column))
+        .withColumn("before", F.col("through") - F.col("n_range"))
+        .where((F.col("before") <= F.ceil(position)) & (F.col("through") > F.floor(position)))
+        .select("c", _RANGE, "before", "n_total")
     )
     levels = (
-        ranged.join(F.broadcast(offsets), [_RANGE, _PART])
-        .groupBy(_RANGE, "value", "__n_before", "n_total")
-        .agg(F.sum("n").alias("n"))
+        rows.join(F.broadcast(offsets), ["c", _RANGE])
+        .groupBy("c", _RANGE, "value", "before", "n_total")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     within = (
-        Window.partitionBy(_RANGE)
+        Window.partitionBy("c", _RANGE)
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = levels.withColumn("through", F.sum("n").over(within) + F.col("__n_before"))
+    placed = levels.withColumn("through", F.sum("n").over(within) + F.col("before"))
     low, high, fraction = _interpolation_points(
         F.col("value"), F.col("through") - F.col("n"), F.col("through"), position
     )
-    return placed.agg(low.alias("low"), high.alias("high"), fraction.alias("fraction")).select(
-        interpolate(F.col("low"), F.col("high"), F.col("fraction")).alias("quantile")
+    points = placed.groupBy("c").agg(low.alias("low"), high.alias("high"), fraction.alias("fraction"))
+    return points.select(
+        "c", interpolate(F.col("low"), F.col("high"), F.col("fraction")).alias("quantile")
     )
 
 

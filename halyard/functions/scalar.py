@@ -47,7 +47,7 @@ def flag(condition: Column) -> Column:
 
 
 def strip_prefix(value: Column, prefix: str) -> Column:
-    return F.regexp_replace(value, f"^{prefix}", "")
+    return F.when(F.startswith(value, F.lit(prefix)), F.substring(value, len(prefix) + 1, F.length(value))).otherwise(value)
 
 
 def first_largest(candidates: Mapping[str, Column]) -> Column:

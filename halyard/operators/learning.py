@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -16,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.contract import CATEGORICAL_COLUMNS, GENRES, SEED, affinity_columns, numeric_columns
+from halyard.contract import CATEGORICAL_COLUMNS, GENRES, SEED, numeric_columns
 from halyard.operators.order_statistics import quantiles
 from halyard.operators.targeting import TOP_DRIVERS, top_drivers
 from halyard.sources.workspace import ensure_checkpoint_dir
@@ -76,16 +77,27 @@ def one_hot(frame: DataFrame, categorical: Sequence[str] = CATEGORICAL_COLUMNS)
     )
 
 
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def _present(column: str) -> str:
+    """SQL for the value as a double; null where it is missing or not a number."""
+    return f"nanvl(CAST({_quoted(column)} AS DOUBLE), CAST(NULL AS DOUBLE))"
+
+
 def missing_flags(columns: Sequence[str]) -> SQLTransformer:
-    flags = ", ".join(f"CAST({c} IS NULL AS DOUBLE) AS {c}_missing" for c in columns)
+    flags = ", ".join(
+        f"CAST({_present(c)} IS NULL AS DOUBLE) AS {_quoted(c + '_missing')}" for c in columns
+    )
     return SQLTransformer(statement=f"SELECT *, {flags} FROM __THIS__")
 
 
 class MedianFill(Estimator):
     """Learns exact medians; the fitted stage adds ``<c>_filled`` with nulls replaced by them.
 
-    The fitted stage is a plain SQL transformer, so it is saved with the pipeline. A column
-    without any value is filled with 0.
+    The fitted stage is a plain SQL transformer, so it is saved with the pipeline. NaN counts
+    as missing. A column without any finite median is filled with 0.
     """
 
     def __init__(self, columns: Sequence[str]):
@@ -93,9 +105,15 @@ class MedianFill(Estimator):
         self.columns = list(columns)
 
     def _fit(self, dataset: DataFrame) -> SQLTransformer:
-        medians = quantiles(dataset, self.columns, 0.5).first()
+        present = dataset.select(*[F.expr(_present(c)).alias(c) for c in self.columns])
+        medians = quantiles(present, self.columns, 0.5).first()
+
+        def literal(c: str) -> str:
+            median = medians[c]
+            return f"{median if median is not None and math.isfinite(median) else 0.0!r}D"
+
         filled = ", ".join(
-            f"coalesce(`{c}`, {medians[c] or 0.0!r}D) AS `{c}_filled`" for c in self.columns
+            f"coalesce({_present(c)}, {literal(c)}) AS {_quoted(c + '_filled')}" for c in self.columns
         )
         return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
 
@@ -103,26 +121,24 @@ class MedianFill(Estimator):
 def impute_stages(columns: Sequence[str]) -> list:
     """Flag missing values, then fill them with the training median.
 
-    Spark's tree learners reject NaN. The trend and the shares are the columns that can be
-    missing: an idle month, or no viewing at all.
+    Spark's tree learners reject NaN, and the assembler rejects nulls.
     """
     return [missing_flags(columns), MedianFill(columns)]
 
 
-def nullable_columns(genres: Sequence[str] = GENRES) -> list[str]:
-    return ["viewing_trend_3mo", *affinity_columns(genres)]
-
-
 def preparation_stages(genres: Sequence[str] = GENRES) -> list:
-    """One-hot categories, filled and plain numeric columns, assembled into ``features``."""
-    nullable = nullable_columns(genres)
-    numeric = [f"{c}_filled" if c in nullable else c for c in numeric_columns(genres)]
-    inputs = [c + _ENCODED for c in CATEGORICAL_COLUMNS] + numeric
+    """One-hot categories and filled numeric columns with their flags, in ``features``.
+
+    Every numeric column may be missing: one row without a survey answer must not stop a batch
+    or a stream.
+    """
+    numeric = numeric_columns(genres)
+    inputs = [c + _ENCODED for c in CATEGORICAL_COLUMNS] + [f"{c}_filled" for c in numeric]
     return [
         *one_hot_stages(),
-        *impute_stages(nullable),
+        *impute_stages(numeric),
         VectorAssembler(
-            inputCols=[*inputs, *[f"{c}_missing" for c in nullable]], outputCol="features"
+            inputCols=[*inputs, *[f"{c}_missing" for c in numeric]], outputCol="features"
         ),
     ]
 

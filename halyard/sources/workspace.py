@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder.
-
-    Only a local session without one gets a temporary folder; on a cluster it must be set to a
-    folder that all machines share.
-    """
+    """The session's checkpoint folder: ``spark.checkpoint.dir``, or where that is unset a folder
+    in the warehouse, which every machine of a cluster reaches too."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     active = spark.sparkContext.getCheckpointDir()
     if configured:
@@ -22,9 +18,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if active:
         return active
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="halyard-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

@@ -622,7 +622,10 @@ def affinity_index(spark, sf):
 )
 def union_months(spark, sf):
     activity = event_activity(spark, sf)
-    return V.union_months(*[activity.where(F.col("months_ago") == m) for m in (2, 1, 0)])
+    month = F.col("months_ago")
+    extracts = [activity.where(month == m) for m in (2, 1, 0)]
+    others = activity.where(month.isNull() | ~month.isin(2, 1, 0))
+    return V.union_months(*extracts, others)
 
 
 # --- scalar functions -------------------------------------------------------

@@ -243,11 +243,11 @@ def scored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-VECTOR_GENRES = tuple(f"d{i}" for i in range(7))
+VECTOR_GENRES = tuple(f"d{i}" for i in range(64))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seven dimensions of the embeddings as shares, their label as a fixed segment."""
+    """All dimensions of the embeddings as shares, their label as a fixed segment."""
     return read(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("account_id"),
         *[

@@ -26,7 +26,6 @@ SHARE_DIGITS = 3
 SILHOUETTE_DIGITS = 4
 # --- end of fixed values ----------------------------------------------------
 
-SAMPLE_LIMIT = 50_000
 _VECTOR = "__scaled"
 
 
@@ -45,8 +44,6 @@ def sampled_silhouette(
     All assignments use the same sample and the same distances. A singleton scores 0. With
     fewer than two clusters in the sample there is no silhouette (null).
     """
-    if sample_size > SAMPLE_LIMIT:
-        raise ValueError(f"the sample is shipped to every task: at most {SAMPLE_LIMIT} rows")
     needed = frame.select(
         key,
         *[F.col(c).cast("double").alias(c) for c in columns],

@@ -58,9 +58,10 @@ def test_silhouette_of_one_cluster_is_null(spark):
     assert segments.sampled_silhouette(frame, COLUMNS, ["segment"]).first()["silhouette"] is None
 
 
-def test_silhouette_sample_has_a_limit(spark):
-    with pytest.raises(ValueError):
-        segments.sampled_silhouette(blobs(spark), COLUMNS, ["account_id"], sample_size=10**6)
+def test_a_sample_may_be_larger_than_the_table(spark):
+    frame = blobs(spark).withColumn("segment", F.floor(F.col("account_id") / 40).cast("int"))
+    everyone = segments.sampled_silhouette(frame, COLUMNS, ["segment"], sample_size=10**6)
+    assert everyone.first()["n_sampled"] == frame.count()
 
 
 def test_silhouettes_of_several_assignments_share_one_sample(spark):

@@ -69,13 +69,12 @@ def _index(pages: DataFrame, min_bytes: int) -> DataFrame:
     )
     repeated = stored(keepers.where(F.col("n") > 1).select("address", "keeper"), "warc-keepers")
     joined = narrow.join(repeated, "address", "left")
-    revisit = (
-        (F.col("keeper") != F.col("page_id")) & (F.col("payload_bytes") >= F.lit(min_bytes))
-    )
+    other = F.col("keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
+    revisit = other & (F.col("payload_bytes") >= F.lit(min_bytes))
     return joined.select(
         *narrow.columns,
         F.coalesce(F.col("keeper"), F.col("page_id")).alias("keeper"),
-        F.coalesce(revisit, F.lit(False)).alias("revisit"),
+        revisit.alias("revisit"),
     )
 
 

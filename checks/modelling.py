@@ -1,14 +1,16 @@
 """Model preparation, training, scoring, clustering, jobs and streaming.
 
-Boosting rounds, k and restarts are few here so that a check takes seconds; the library's
-defaults are the full settings. Every query trains on and scores all accounts.
+Every job runs with the library's full settings, once per input; the queries about its parts read
+what the job left behind. Every query trains on and scores all accounts.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.registry import query
@@ -28,38 +30,78 @@ from checks.tables import (
 )
 from halyard import functions as H
 from halyard.contract import ACCOUNT_NUMERIC_COLUMNS, affinity_columns
-from halyard.operators import learning, segments, splitting, targeting, training
+from halyard.operators import learning, segments, targeting
 from halyard.operators.viewing import viewing_features
 from halyard.plans import affinity_job, churn_training_job, propensity_training_job
+from halyard.plans.jobs import JobResult
 from halyard.plans.promotion import load_current_model
 from halyard.sources import load_model, save_model
 from halyard.sources.tables import materialise, read_report_csv
 from halyard.sources.workspace import workspace_path
 from halyard.streaming import score_stream
 
-FEW_ROUNDS = {"maxIter": 8}
 
 def _viewing(spark: SparkSession, sf: str) -> DataFrame:
     return viewing_features(line_activity(spark, sf), LINE_GENRES, digits=HOUR_DIGITS)
 
 
-def _churn_frame(spark: SparkSession, sf: str) -> DataFrame:
-    def make() -> DataFrame:
-        view = training.churn_training_view(
-            planted_subscribers(spark, sf), _viewing(spark, sf), LINE_GENRES
-        )
-        return materialise(splitting.stratified_split(view), workspace_path(spark, "churn-frame"))
+@dataclass(frozen=True)
+class _Done:
+    """A finished job and the registry it promotes to."""
 
-    return once(spark, sf, "churn_frame", make)
+    result: JobResult
+    registry: str | None = None
 
 
-def _churn_model(spark: SparkSession, sf: str) -> PipelineModel:
-    def make() -> PipelineModel:
-        return learning.fit(
-            learning.churn_pipeline(LINE_GENRES, **FEW_ROUNDS), _churn_frame(spark, sf)
+def _churn_job(spark: SparkSession, sf: str) -> _Done:
+    def make() -> _Done:
+        registry = workspace_path(spark, "registry")
+        result = churn_training_job(
+            planted_subscribers(spark, sf),
+            line_activity(spark, sf),
+            workspace_path(spark, "churn-job"),
+            registry,
+            version="v1",
+            run=1,
+            genres=LINE_GENRES,
+            digits=HOUR_DIGITS,
+        )
+        return _Done(result, registry)
+
+    return once(spark, sf, "churn_job", make)
+
+
+def _propensity_job(spark: SparkSession, sf: str) -> _Done:
+    def make() -> _Done:
+        return _Done(
+            propensity_training_job(
+                planted_subscribers(spark, sf),
+                line_activity(spark, sf),
+                workspace_path(spark, "propensity-job"),
+                genres=LINE_GENRES,
+                top_plan=TOP_PLAN,
+                digits=HOUR_DIGITS,
+            )
         )
 
-    return once(spark, sf, "churn_model", make)
+    return once(spark, sf, "propensity_job", make)
+
+
+def _affinity_job(spark: SparkSession, sf: str) -> _Done:
+    def make() -> _Done:
+        output = workspace_path(spark, "affinity-job")
+        activity = line_activity(spark, sf)
+        return _Done(affinity_job(activity, output, genres=LINE_GENRES, digits=HOUR_DIGITS))
+
+    return once(spark, sf, "affinity_job", make)
+
+
+def _churn_frame(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.read.parquet(f"{_churn_job(spark, sf).result.output}/training_frame")
+
+
+def _churn_model(spark: SparkSession, sf: str) -> PipelineModel:
+    return _churn_job(spark, sf).result.model
 
 
 def _account_counts_sql(columns: str, where: str = "") -> str:
@@ -146,13 +188,9 @@ def churn_model(spark, sf):
 
 @query("propensity_model")
 def propensity_model(spark, sf):
-    view = training.upsell_training_view(
-        planted_subscribers(spark, sf), _viewing(spark, sf), LINE_GENRES
-    )
-    eligible = splitting.stratified_split(training.eligible_accounts(view, TOP_PLAN))
-    frame = materialise(eligible, workspace_path(spark, "upsell-frame"))
-    model = learning.fit(learning.propensity_pipeline(LINE_GENRES, **FEW_ROUNDS), frame)
-    return learning.batch_score(model, frame.where("is_test"), ("account_id", "label"))
+    result = _propensity_job(spark, sf).result
+    frame = spark.read.parquet(f"{result.output}/training_frame")
+    return learning.batch_score(result.model, frame.where("is_test"), ("account_id", "label"))
 
 
 @query("batch_score")
@@ -173,6 +211,63 @@ def top_drivers(spark, sf):
     return targeting.top_drivers(importances)
 
 
+@query(
+    "top_drivers_customers",
+    "SELECT c_name AS feature, c_acctbal AS importance,"
+    " row_number() OVER (ORDER BY c_acctbal DESC, c_name) AS place FROM customer"
+    " QUALIFY place <= 15",
+)
+def top_drivers_customers(spark, sf):
+    """The same ranking on a table of which SQL knows the values; ``place`` checks the order."""
+    importances = read(spark, sf, "customer").select(
+        F.col("c_name").alias("feature"), F.col("c_acctbal").alias("importance")
+    )
+    order = Window.orderBy(F.desc("importance"), "feature")
+    best = targeting.top_drivers(importances)
+    return best.withColumn("place", F.row_number().over(order).cast("bigint"))
+
+
+_IN_RANGE_SQL = _account_counts_sql("count(*) AS n_accounts, CAST(0 AS BIGINT) AS n_outside")
+
+
+@query("batch_score_range", _IN_RANGE_SQL)
+def batch_score_range(spark, sf):
+    """How many accounts are scored, and how many scores are no probability."""
+    scored = learning.batch_score(_churn_model(spark, sf), _churn_frame(spark, sf))
+    inside = F.coalesce(F.col("score").between(0.0, 1.0), F.lit(False))
+    return scored.agg(
+        F.count("*").alias("n_accounts"), F.count_if(~inside).alias("n_outside")
+    )
+
+
+def _sizes_sql(counts: str, also: str = "") -> str:
+    return (
+        f"SELECT n - (20 * n + 99) // 100 AS n_train, (20 * n + 99) // 100 AS n_test{also} FROM ({counts})"
+    )
+
+
+@query("churn_job_sizes", _sizes_sql(_account_counts_sql("count(*) AS n")))
+def churn_job_sizes(spark, sf):
+    return _churn_job(spark, sf).result.metrics.select(
+        F.col("n_train").cast("bigint"), F.col("n_test").cast("bigint")
+    )
+
+
+@query(
+    "propensity_job_sizes",
+    _sizes_sql(
+        _account_counts_sql("count(*) AS n", f" WHERE plan IS DISTINCT FROM '{TOP_PLAN}'"),
+        ", n AS n_eligible",
+    ),
+)
+def propensity_job_sizes(spark, sf):
+    return _propensity_job(spark, sf).result.metrics.select(
+        F.col("n_train").cast("bigint"),
+        F.col("n_test").cast("bigint"),
+        F.col("n_eligible_accounts").cast("bigint").alias("n_eligible"),
+    )
+
+
 _SAME_SCORES_SQL = _account_counts_sql("count(*) AS n_accounts, CAST(0 AS BIGINT) AS n_different")
 
 
@@ -212,34 +307,16 @@ def stream_score(spark, sf):
 # --- segments ---------------------------------------------------------------
 
 
-def _affinity(spark: SparkSession, sf: str) -> DataFrame:
-    def make() -> DataFrame:
-        viewing = training.drop_null_affinity(_viewing(spark, sf), LINE_GENRES)
-        columns = ["account_id", *affinity_columns(LINE_GENRES)]
-        return materialise(viewing.select(*columns), workspace_path(spark, "affinity"))
-
-    return once(spark, sf, "affinity", make)
-
-
-def _sweep(spark: SparkSession, sf: str) -> segments.KMeansSweep:
-    columns = affinity_columns(LINE_GENRES)
-
-    def make() -> segments.KMeansSweep:
-        return segments.kmeans_sweep(_affinity(spark, sf), columns, range(3, 5), restarts=2)
-
-    return once(spark, sf, "sweep", make)
-
-
 @query("kmeans_sweep")
 def kmeans_sweep(spark, sf):
-    found = _sweep(spark, sf)
-    return found.candidates.withColumn("selected", F.col("k") == found.best_k)
+    return _affinity_job(spark, sf).result.metrics
 
 
 @query("assign_segments")
 def assign_segments(spark, sf):
-    columns = affinity_columns(LINE_GENRES)
-    assigned = segments.assign_segments(_sweep(spark, sf).model, _affinity(spark, sf), columns)
+    result = _affinity_job(spark, sf).result
+    affinity = spark.read.parquet(f"{result.output}/affinity")
+    assigned = segments.assign_segments(result.model, affinity, affinity_columns(LINE_GENRES))
     return assigned.select("account_id", "segment")
 
 
@@ -248,49 +325,24 @@ def assign_segments(spark, sf):
 
 @query("churn_training_job")
 def churn_training_job_query(spark, sf):
-    """Metrics of the job; the promoted model is read back from the registry and scores."""
-    output, registry = workspace_path(spark, "churn-job"), workspace_path(spark, "registry")
-    result = churn_training_job(
-        planted_subscribers(spark, sf),
-        line_activity(spark, sf),
-        output,
-        registry,
-        version="v1",
-        run=1,
-        genres=LINE_GENRES,
-        min_auc=0.5,
-        digits=HOUR_DIGITS,
-        **FEW_ROUNDS,
-    )
-    current = load_current_model(spark, registry)
-    scored = learning.batch_score(current, _churn_frame(spark, sf))
-    return result.metrics.select(
-        "*", F.lit(result.passed).alias("passed"), scored.agg(F.count("score")).scalar().alias("n_scored")
+    """Metrics of the job; if its model was promoted, it is read back and scores (else 0 rows)."""
+    job = _churn_job(spark, sf)
+    n_scored = F.lit(0).cast("bigint")
+    if job.result.passed:
+        current = load_current_model(spark, job.registry)
+        scored = learning.batch_score(current, _churn_frame(spark, sf))
+        n_scored = scored.agg(F.count("score")).scalar()
+    return job.result.metrics.select(
+        "*", F.lit(job.result.passed).alias("passed"), n_scored.alias("n_scored")
     )
 
 
 @query("propensity_training_job")
 def propensity_training_job_query(spark, sf):
-    return propensity_training_job(
-        planted_subscribers(spark, sf),
-        line_activity(spark, sf),
-        workspace_path(spark, "propensity-job"),
-        genres=LINE_GENRES,
-        top_plan=TOP_PLAN,
-        digits=HOUR_DIGITS,
-        **FEW_ROUNDS,
-    ).metrics
+    return _propensity_job(spark, sf).result.metrics
 
 
 @query("affinity_job")
 def affinity_job_query(spark, sf):
-    output = workspace_path(spark, "affinity-job")
-    affinity_job(
-        line_activity(spark, sf),
-        output,
-        genres=LINE_GENRES,
-        k_range=range(3, 4),
-        restarts=2,
-        digits=HOUR_DIGITS,
-    )
+    output = _affinity_job(spark, sf).result.output
     return read_report_csv(spark, f"{output}/assignments", "account_id bigint, segment int")

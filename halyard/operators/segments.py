@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -26,6 +27,7 @@ SHARE_DIGITS = 3
 SILHOUETTE_DIGITS = 4
 # --- end of fixed values ----------------------------------------------------
 
+FITS_AT_ONCE = 8
 _VECTOR = "__scaled"
 
 
@@ -135,12 +137,24 @@ class KMeansSweep:
     best_k: int
 
 
-def _best_restart(vectors: DataFrame, k: int, restarts: int, seed: int) -> KMeansModel:
-    fits = (
-        KMeans(k=k, seed=seed + i, featuresCol=_VECTOR, predictionCol="segment").fit(vectors)
-        for i in range(restarts)
-    )
-    return min(fits, key=lambda fitted: fitted.summary.trainingCost)
+def _best_restarts(
+    vectors: DataFrame, k_range: Sequence[int], restarts: int, seed: int
+) -> dict[int, KMeansModel]:
+    """Per k the fit with the lowest cost, the first one on ties. Fits are jobs of their own, and
+    several run at a time, so that small ones do not leave the cluster idle."""
+    tries = [(k, i) for k in k_range for i in range(restarts)]
+
+    def attempt(at: tuple[int, int]) -> KMeansModel:
+        k, i = at
+        return KMeans(k=k, seed=seed + i, featuresCol=_VECTOR, predictionCol="segment").fit(vectors)
+
+    with ThreadPool(FITS_AT_ONCE) as pool:
+        in_session = inheritable_thread_target(vectors.sparkSession)
+        fits = dict(zip(tries, pool.map(in_session(attempt), tries)))
+    return {
+        k: fits[min((t for t in tries if t[0] == k), key=lambda t: (fits[t].summary.trainingCost, t))]
+        for k in k_range
+    }
 
 
 def kmeans_sweep(
@@ -162,7 +176,7 @@ def kmeans_sweep(
     vectors = assembler.transform(scaling.transform(affinity.select(key, *columns)))
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = {k: _best_restart(vectors, k, restarts, seed) for k in k_range}
+        models = _best_restarts(vectors, k_range, restarts, seed)
         assigned = vectors
         for k, fitted in models.items():
             assigned = (

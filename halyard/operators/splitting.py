@@ -42,11 +42,29 @@ def _with_test_quotas(cells: DataFrame, percent: int) -> DataFrame:
     return shared.withColumn("take", F.col("base") + F.when(place <= left_over, 1).otherwise(0))
 
 
+def _boundary(cells: DataFrame, wanted: str) -> DataFrame:
+    """Of counted prefixes (stratum, prefix, n, ``wanted``) the one in which each stratum's quota
+    runs out, and how many of its rows are ``needed``."""
+    running = F.sum("n").over(Window.partitionBy("stratum").orderBy("prefix"))
+    before = F.col("through") - F.col("n")
+    return (
+        cells.withColumn("through", running)
+        .where((before < F.col(wanted)) & (F.col(wanted) <= F.col("through")))
+        .select("stratum", "prefix", (F.col(wanted) - before).alias("needed"))
+    )
+
+
+def _at_boundary(rows: DataFrame, boundary: DataFrame) -> DataFrame:
+    matched = rows.join(F.broadcast(boundary), "stratum")
+    return matched.where(F.col("hash").startswith(F.col("prefix")))
+
+
 def _cut_offs(rows: DataFrame, with_quotas: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Last (hash, key) to take in each stratum.
 
-    There are 4,096 hash prefixes, so the windows see at most that many rows per stratum, and
-    the rows ranked afterwards are about one in 4,096.
+    There are 4,096 hash prefixes, so the windows see at most that many rows per stratum. The
+    rows of the boundary prefix are counted by a longer prefix again, so the rows ranked at
+    last are about one in 16.8 million.
     """
     in_stratum = Window.partitionBy("stratum")
     cells = (
@@ -55,16 +73,12 @@ def _cut_offs(rows: DataFrame, with_quotas: Callable[[DataFrame], DataFrame]) ->
         .withColumn("through", F.sum("n").over(in_stratum.orderBy("prefix")))
         .withColumn("n_stratum", F.sum("n").over(in_stratum))
     )
-    before = F.col("through") - F.col("n")
-    boundary = (
-        with_quotas(cells)
-        .where((before < F.col("take")) & (F.col("take") <= F.col("through")))
-        .select("stratum", "prefix", (F.col("take") - before).alias("needed"))
-    )
-    ranked = (
-        rows.join(F.broadcast(boundary), "stratum")
-        .where(F.col("hash").startswith(F.col("prefix")))
-        .withColumn("place", F.row_number().over(in_stratum.orderBy("hash", "key")))
+    coarse = _boundary(with_quotas(cells), "take")
+    longer = F.substring("hash", 1, 2 * _PREFIX_DIGITS).alias("prefix")
+    inside = _at_boundary(rows, coarse).groupBy("stratum", "needed", longer)
+    fine = _boundary(inside.agg(F.count(F.lit(1)).alias("n")), "needed")
+    ranked = _at_boundary(rows, fine).withColumn(
+        "place", F.row_number().over(in_stratum.orderBy("hash", "key"))
     )
     return ranked.where(F.col("place") == F.col("needed")).select(
         "stratum", F.struct("hash", "key").alias("last")

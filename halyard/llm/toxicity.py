@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -155,17 +156,19 @@ def informative_features(sample: DataFrame, most: int = FEATURES) -> list[int]:
     return [row["feature"] for row in best.select("feature").collect()]
 
 
-def _fit(rows: list, size: int, ridge: float, penalty: float) -> tuple[np.ndarray, float]:
+def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and values of a list column, without a Python object for each."""
+    lengths = pc.list_value_length(column).to_numpy()
+    return np.repeat(np.arange(len(lengths)), lengths), pc.list_flatten(column).to_numpy()
+
+
+def _fit(rows: pa.Table, size: int, ridge: float, penalty: float) -> tuple[np.ndarray, float]:
     """Weights and intercept that minimise log-loss, ridge and squared swap changes."""
-    y = np.array([r["toxic"] for r in rows], float)
-    lengths = np.array([len(r["present"]) for r in rows])
-    row_of = np.repeat(np.arange(len(rows)), lengths)
-    feature = np.fromiter((f for r in rows for f in r["present"]), np.int64, int(lengths.sum()))
-    moved = [(i, f, s) for i, r in enumerate(rows) for f, s in zip(r["moved"], r["sign"])]
-    moved_row, moved_feature, sign = (
-        np.array([m[k] for m in moved], dtype=t) for k, t in enumerate((np.int64, np.int64, float))
-    )
-    n = len(rows)
+    y = rows["toxic"].to_numpy().astype(float)
+    row_of, feature = _flat(rows["present"])
+    moved_row, moved_feature = _flat(rows["moved"])
+    _, sign = _flat(rows["sign"])
+    n = rows.num_rows
     often = np.maximum(np.bincount(feature, minlength=size) / n, 1 / n)
     scale = often**-0.5  # features of unit second moment: rare ones learn as fast as common ones
 
@@ -243,8 +246,8 @@ def fit_toxicity(
         ]
     )
     fields = "toxic int, present array<int>, moved array<int>, sign array<double>"
-    rows_found = sample.mapInArrow(pairs, fields).toArrow().to_pylist()
-    weights, intercept = _fit(rows_found, len(features), ridge, penalty)
+    found = sample.mapInArrow(pairs, fields).toArrow()
+    weights, intercept = _fit(found, len(features), ridge, penalty)
     return ToxicityModel(tuple(features), tuple(weights.tolist()), intercept)
 
 

@@ -317,6 +317,40 @@ def test_near_copies_leave_one_and_others_stay(spark, monkeypatch, few, cell):
     assert kept == [10 * base for base in range(12)]
 
 
+def _shingles(text: str) -> set[str]:
+    words = text.split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def _kept_by_brute_force(rows: list[tuple[int, str]]) -> list[int]:
+    sets = {i: _shingles(t) for i, t in rows}
+    group = {i: i for i in sets}
+    for a in sets:
+        for b in sets:
+            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                new, old = sorted((group[a], group[b]))
+                group = {i: new if g == old else g for i, g in group.items()}
+    return sorted(set(group.values()))
+
+
+@pytest.mark.parametrize("few, cell", [(copies.FEW, copies.CELL), (0, 7)])
+def test_appended_and_cut_passages_meet(spark, monkeypatch, few, cell):
+    monkeypatch.setattr(copies, "FEW", few)
+    monkeypatch.setattr(copies, "CELL", cell)
+    passage = " ".join(_varied(999, 30))
+    rows = []
+    for base in range(30):
+        words = _varied(base, 150 + 5 * base)
+        less = len(words) * (18 + base % 3) // 100  # both sides of 0.8
+        more = _varied(500 + base, less)
+        texts = [" ".join(words), " ".join(words[less:]), " ".join(words[:-less]), " ".join(words + more)]
+        rows += [(10 * base + k, t) for k, t in enumerate(texts)]
+        rows.append((10 * base + 5, f"{passage} {' '.join(_varied(700 + base, 40))}"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    kept = sorted(r["doc_id"] for r in copies.without_near_copies(frame).collect())
+    assert kept == _kept_by_brute_force(rows)
+
+
 def test_near_copies_of_awkward_rows(docs, nothing):
     kept = copies.without_near_copies(docs)
     assert kept.columns == docs.columns

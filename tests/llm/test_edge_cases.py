@@ -351,6 +351,24 @@ def test_appended_and_cut_passages_meet(spark, monkeypatch, few, cell):
     assert kept == _kept_by_brute_force(rows)
 
 
+@pytest.mark.parametrize("few, cell", [(copies.FEW, copies.CELL), (0, 7)])
+def test_texts_below_the_similarity_stay(spark, monkeypatch, few, cell):
+    monkeypatch.setattr(copies, "FEW", few)
+    monkeypatch.setattr(copies, "CELL", cell)
+    rows = []
+    for base in range(20):
+        short = _varied(base, 10)  # five of seven shingles are common
+        rows += [(10 * base, " ".join(short)), (10 * base + 1, " ".join([*short[:-1], "other"]))]
+        words = _varied(100 + base, 200)
+        changed = list(words)
+        for place in range(5, 195, 190 // (5 + base % 3)):  # similarities of 0.66 to 0.78
+            changed[place] = "changed"
+        rows += [(10 * base + 2, " ".join(words)), (10 * base + 3, " ".join(changed))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    kept = sorted(r["doc_id"] for r in copies.without_near_copies(frame).collect())
+    assert kept == _kept_by_brute_force(rows) == [i for i, _ in rows]
+
+
 def test_near_copies_of_awkward_rows(docs, nothing):
     kept = copies.without_near_copies(docs)
     assert kept.columns == docs.columns

@@ -1,8 +1,8 @@
 """Licence recognition from sentences.
 
-A text is cut into sentences, each sentence is normalised and mapped to the identifier of a
-known licence sentence, and the sequence of identifiers is matched against ordered rules. A
-rule matches where its identifiers follow each other among the recognised sentences; sentences
+A text is normalised to words with one space between, so that line breaks, blank lines and comment
+markers of a wrapped licence do not matter. Known licence sentences are found in it wherever
+they stand, and the sequence of their identifiers is matched against ordered rules. A rule matches where its identifiers follow each other among the recognised sentences; sentences
 that are no licence sentences may stand between. A rule that another matching rule contains is
 not reported, so a full header is not also reported as its first line.
 
@@ -70,7 +70,7 @@ RULES = (
 )
 # --- end of fixed values ----------------------------------------------------
 
-#: A sentence ends at .!?; before white space, or with its line.
+#: Where the SQL ends a sentence: at .!?; before white space, or with its line.
 BOUNDARY = r"[.!?;]+[\x20\x09-\x0D]+|[\x0A-\x0D]+"
 NOT_WORD = "[^a-z0-9]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -99,14 +99,16 @@ def contained_in(rules: Rules) -> dict[str, list[str]]:
 
 
 def sentence_identifiers(text: Column, sentences: Mapping[str, str]) -> Column:
-    """Identifiers of the known licence sentences of a text, in order, repeats included."""
+    """Identifiers of the known licence sentences of a text, in order, repeats included. Of
+    sentences that start at one word the longest counts; the next is looked for after it."""
+    if not sentences:
+        return F.array().cast("array<string>")
     known = F.create_map(*[F.lit(x) for i, s in sentences.items() for x in (s, i)])
+    longest_first = "|".join(sorted(set(sentences.values()), key=lambda s: (-len(s), s)))
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    normal = F.transform(
-        F.split(lowered, BOUNDARY), lambda s: F.trim(F.regexp_replace(s, NOT_WORD, " "))
-    )
-    found = F.transform(normal, lambda s: F.element_at(known, s))
-    return F.filter(found, lambda i: i.isNotNull())
+    normal = F.regexp_replace(lowered, NOT_WORD, " ")
+    whole = F.lit(rf"\b(?:{longest_first})\b")
+    return F.transform(F.regexp_extract_all(normal, whole, F.lit(0)), lambda s: F.element_at(known, s))
 
 
 def scan_licences(

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from halyard.llm import katz, licences, mixing, packing, privacy, quality, simhash, topk, toxicity, warc
+from halyard.llm import (
+    decontamination,
+    katz,
+    licences,
+    mixing,
+    packing,
+    privacy,
+    quality,
+    search,
+    simhash,
+    spelling,
+    topk,
+    toxicity,
+    warc,
+)
 from halyard.llm.tables import read
 from halyard.llm.oracles import ORACLES  # noqa: F401
 from halyard.sources.workspace import workspace_path
@@ -64,6 +78,20 @@ def op10_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -77,5 +105,8 @@ QUERIES: dict[str, Query] = {
         op8_warc_archive,
         op9_toxicity,
         op10_katz_scores,
+        op11_spelling_variants,
+        op12_ranked_search,
+        op13_decontamination,
     )
 }

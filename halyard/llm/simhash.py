@@ -9,9 +9,9 @@ fingerprint is replicated to the anchors within 2 of its halves (2 or 17 of 2**2
 compared there with the fingerprints at home. A code over all 64 bits would need radius plus
 3, which is thousands of anchors per fingerprint.
 
-Only distinct fingerprints take part, and an anchor gives links that keep its fingerprints
-connected, not all its pairs: groups of copies of any size cost what their distinct
-fingerprints cost.
+Only distinct fingerprints take part, so a group of copies costs what its distinct fingerprints
+cost. Of those an anchor gives every pair within the distance once: at most 43,744 links per
+fingerprint, the number of words of 64 bits within three bits of one.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from halyard.llm.components import smallest_reachable
@@ -66,17 +66,22 @@ def fingerprint(text: str | None, size: int = SHINGLE_WORDS) -> int:
 
 
 def with_fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long, per row."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """``doc_id``, ``fp``, the fingerprint as a signed long, and ``h``, the text's hash, per row."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("h", pa.int64())])
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = [fingerprint(t.as_py(), size) for t in batch.column("text")]
             signed = np.array(values, np.uint64).view(np.int64)
-            ids = batch.column("doc_id").cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(signed)], schema=schema)
+            arrays = [batch.column("doc_id").cast(pa.int64()), pa.array(signed), batch.column("h")]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return docs.select("doc_id", "text").mapInArrow(marked, "doc_id bigint, fp bigint")
+    rows = docs.select("doc_id", "text", _text_hash().alias("h"))
+    return rows.mapInArrow(marked, "doc_id bigint, fp bigint, h bigint")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def _syndrome(code: Column) -> Column:
@@ -170,7 +175,8 @@ def links_between(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def component_table(marked: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``fp`` and ``component_id``, the smallest doc_id reachable, per distinct fingerprint."""
+    """``fp``, ``component`` (a fingerprint that stands for it) and ``component_id``, the smallest
+    doc_id reachable, per distinct fingerprint."""
     firsts = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-firsts")
     roots = stored(
         smallest_reachable(links_between(firsts.select("fp"), distance)), "simhash-roots"
@@ -179,10 +185,14 @@ def component_table(marked: DataFrame, distance: int = DISTANCE) -> DataFrame:
     smallest = stored(
         linked.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-smallest"
     )
-    placed = roots.join(smallest, "root").select(F.col("node").alias("fp"), "component_id")
+    placed = roots.join(smallest, "root").select(F.col("node").alias("fp"), "root", "component_id")
     found = firsts.join(placed, "fp", "left")
     return stored(
-        found.select("fp", F.coalesce("component_id", "first").alias("component_id")),
+        found.select(
+            "fp",
+            F.coalesce("root", "fp").alias("component"),
+            F.coalesce("component_id", "first").alias("component_id"),
+        ),
         "simhash-components",
     )
 
@@ -202,3 +212,26 @@ def near_duplicates(
     return marked.join(table, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def without_near_copies(
+    docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE
+) -> DataFrame:
+    """The documents without near copies: of each component the row with the smallest doc_id stays,
+    with its own columns, whatever their names.
+
+    Components are those of ``near_duplicates``, so null texts and texts without words are one.
+    A null doc_id is larger than any other. Of rows that share the smallest doc_id that with the
+    smallest hash of its text stays, of equal rows one. An empty table gives no rows.
+    """
+    marked = stored(with_fingerprints(docs, size), "simhash-marks")
+    table = component_table(marked, distance).select("fp", "component")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    best = marked.join(table, "fp").groupBy("component").agg(F.min(place).alias("best"))
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))
+    key = [F.col("doc_id").isNull().alias("none"), number.alias("number")]
+    keepers = stored(best.select("best.doc_id", "best.h").select(*key, "h"), "simhash-keepers")
+    packed = docs.select(*key, _text_hash().alias("h"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    first = F.row_number().over(Window.partitionBy("none", "number", "h").orderBy("number"))
+    kept = packed.join(keepers, ["none", "number", "h"]).withColumn("place", first).where("place = 1")
+    return kept.select(*[F.col(f"doc.`{c}`") for c in docs.columns])

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from halyard.llm import (
     components,
-    copies,
     katz,
     licences,
     mixing,
@@ -132,6 +131,24 @@ def test_hilbert_curve_visits_neighbours():
     assert set(steps.tolist()) == {1}
 
 
+def test_an_extra_column_named_as_the_added_one_gives_way(spark, tmp_path):
+    rows = [(i, "t", "s", "caller") for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, source string, Copy string")
+    mixed = mixing.mix_sources(frame, with_copy=True)
+    mixed.write.parquet(str(tmp_path / "mixed"))
+    assert mixed.columns == ["doc_id", "text", "source", "copy"]
+    assert {r["copy"] for r in mixed.collect()} <= set(range(1, 20))
+    assert mixing.mix_sources(frame).columns == frame.columns
+
+
+def test_extra_columns_named_as_the_score_stay_with_the_caller(spark, docs):
+    frame = docs.selectExpr("*", "'mine' AS __score", "1 AS doc_", "2 AS toxic")
+    model = toxicity.fit_toxicity(frame, labels(spark))
+    kept = toxicity.without_toxic(frame, model, threshold=2.0)
+    assert kept.columns == frame.columns and {r["__score"] for r in kept.collect()} == {"mine"}
+    assert kept.count() == len(ROWS)
+
+
 def test_mixing_counts_follow_poisson_and_weights(spark, docs, nothing):
     assert mixing.mix_sources(nothing).collect() == []
     assert mixing.mix_sources(docs, {"s": 0.0}).collect() == []
@@ -172,7 +189,7 @@ VECTORS = [
 
 def test_top_k_with_ties_gaps_and_other_lengths(spark):
     frame = spark.createDataFrame(VECTORS, "vec_id bigint, embedding array<float>, rank string").repartition(3)
-    found = topk.top_k(frame, F.col("vec_id") % 100 == 0, 2, block=1).collect()
+    found = topk.top_k(frame, F.col("vec_id") % 100 == 0, 2, queries=1, candidates=2).collect()
     by_query = {}
     for r in sorted(found, key=lambda r: r["rank"]):
         by_query.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
@@ -182,6 +199,37 @@ def test_top_k_with_ties_gaps_and_other_lengths(spark):
     assert topk.top_k(frame, F.lit(False)).collect() == []
 
 
+def _jobs(spark, action) -> int:
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "counted")
+    before = len(tracker.getJobIdsForGroup("counted"))
+    action()
+    return len(tracker.getJobIdsForGroup("counted")) - before
+
+
+def test_top_k_in_cells_equals_brute_force(spark):
+    rng = np.random.default_rng(12)
+    values = np.floor(rng.normal(size=(300, 5)) * 3) / 1024
+    values[40:70] = values[40]  # ties
+    rows = [(i, v.tolist()) for i, v in enumerate(values)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    whole = np.floor(values * 1024).astype(int)
+    jobs = {}
+    for every, sizes in ((100, (2, 50)), (3, (7, 50))):
+        found = []
+        ask = F.col("vec_id") % every == 0
+        jobs[every] = _jobs(
+            spark, lambda: found.extend(topk.top_k(frame, ask, queries=sizes[0], candidates=sizes[1]).collect())
+        )
+        ours = {(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found}
+        wanted = set()
+        for q in range(0, 300, every):
+            best = sorted((-int(whole[q] @ whole[c]), c) for c in range(300) if c != q)[:10]
+            wanted |= {(q, place + 1, c, -score) for place, (score, c) in enumerate(best)}
+        assert ours == wanted
+    assert abs(jobs[3] - jobs[100]) <= 3  # 100 queries in 15 blocks, or 3 in 2
+
+
 def test_top_k_with_large_components_is_exact():
     values = np.array([[2.0**40 + 1, 3.0]])
     assert topk.scores(values, np.array([[5.0, 2.0**21]]))[0, 0] == 5 * (2**40 + 1) + 3 * 2**21
@@ -213,6 +261,13 @@ def test_archive_round_trip(spark, tmp_path):
         assert rest.endswith(b"\r\n\r\n")
         assert len(rest) - 4 == int(fields[b"Content-Length"])
         assert head.startswith(b"WARC/1.1\r\n")
+    odd = [(1, f"http://a/{sep}X-Page-Id: 7{sep}WARC-Type: revisit", "x") for sep in ("\u2028", "\x85", "\u2029", "\x0b")]
+    odd = spark.createDataFrame([(i, *p[1:]) for i, p in enumerate(odd)], "page_id bigint, url string, html string")
+    strange = warc.write_archive(odd, str(tmp_path / "odd"))
+    named = {r["page_id"]: r for r in warc.read_headers(spark, strange).collect()}
+    assert {(i, r["url"]) for i, r in named.items()} == {(r["page_id"], r["url"]) for r in odd.collect()}
+    assert {r["record_type"] for i, r in named.items() if i < 3} == {"revisit"}
+    assert {r["page_id"] for r in warc.read_records(spark, strange).collect()} == {0, 1, 2, 3}
     small = warc.write_archive(pages, str(tmp_path / "small"), min_bytes=5)
     assert {r["record_type"] for r in warc.read_index(spark, small).collect() if r["page_id"] != 6} == {"response"}
     empty = warc.write_archive(pages.where("false"), str(tmp_path / "empty"))
@@ -328,7 +383,7 @@ def test_swapping_identity_terms_moves_no_score(spark):
             [(1, "the muslims of town met calm friend"), (2, "the christians of town met calm friend"), (3, "stupid idiot")],
             "doc_id bigint, text string",
         )
-        one, two, three = (r["__score"] for r in toxicity.score_toxicity(pair, model).collect())
+        one, two, three = (r["score"] for r in toxicity.score_toxicity(pair, model).collect())
         changes.append(abs(one - two))
         assert three > 0.3
     assert changes[1] < changes[0] / 3
@@ -343,7 +398,9 @@ def test_terms_that_disclose_an_entity_are_found(spark):
     assert all(found[200 + i]["n_term"] == 1 for i in range(8))
     assert all(found[300 + i]["n_term"] == 0 for i in range(6))
     clean = {r["doc_id"]: r for r in privacy.sanitise(docs).collect()}
-    assert clean[200]["text"] == "kkkkk  ssssss [EMAIL] weather aaaaaaa"
+    assert clean[200]["text"] == "kkkkk [TERM] ssssss [EMAIL] weather aaaaaaa"
+    cleaner = {r["doc_id"]: r for r in privacy.sanitise(docs, remove_at=0.85).collect()}
+    assert cleaner[200]["text"] == "kkkkk  ssssss [EMAIL] weather aaaaaaa"
     assert clean[300]["text"] == "copied passage marmalade [EMAIL] same words"
     assert clean[0]["text"] == rows[0][1]
     assert all(r["n_chars"] == len(r["text"]) for r in clean.values())
@@ -356,86 +413,38 @@ def test_components_of_chains_and_stars(spark):
     assert found == {i: 100 for i in range(100, 161)} | {i: 7 for i in (7, *range(200, 400))}
 
 
-def _varied(seed: int, n: int = 200) -> list[str]:
-    rng = np.random.default_rng(seed)
-    return [f"w{x}" for x in rng.integers(0, 5000, n)]
-
-
-@pytest.mark.parametrize("few, cell", [(copies.FEW, copies.CELL), (0, 3)])
-def test_near_copies_leave_one_and_others_stay(spark, monkeypatch, few, cell):
-    monkeypatch.setattr(copies, "FEW", few)
-    monkeypatch.setattr(copies, "CELL", cell)
+def test_near_copies_leave_the_smallest_id_of_each_group(spark):
+    rng = np.random.default_rng(3)
     rows = []
-    for base in range(12):
-        words = _varied(base)
-        for copy in range(5):
+    for base in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 400)]
+        rows += [(100 * base + k, " ".join(words)) for k in range(3)]
+        for k in range(3, 8):
             changed = list(words)
-            for place in np.random.default_rng(100 * base + copy).choice(200, copy, replace=False):
-                changed[place] = "changed"
-            rows.append((10 * base + copy, " ".join(changed)))
-    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    kept = sorted(r["doc_id"] for r in copies.without_near_copies(frame).collect())
-    assert kept == [10 * base for base in range(12)]
-
-
-def _shingles(text: str) -> set[str]:
-    words = text.split()
-    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-def _kept_by_brute_force(rows: list[tuple[int, str]]) -> list[int]:
-    sets = {i: _shingles(t) for i, t in rows}
-    group = {i: i for i in sets}
-    for a in sets:
-        for b in sets:
-            if a < b and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) and group[a] != group[b]:
-                new, old = sorted((group[a], group[b]))
-                group = {i: new if g == old else g for i, g in group.items()}
-    return sorted(set(group.values()))
-
-
-@pytest.mark.parametrize("few, cell", [(copies.FEW, copies.CELL), (0, 7)])
-def test_appended_and_cut_passages_meet(spark, monkeypatch, few, cell):
-    monkeypatch.setattr(copies, "FEW", few)
-    monkeypatch.setattr(copies, "CELL", cell)
-    passage = " ".join(_varied(999, 30))
-    rows = []
-    for base in range(30):
-        words = _varied(base, 150 + 5 * base)
-        less = len(words) * (18 + base % 3) // 100  # both sides of 0.8
-        more = _varied(500 + base, less)
-        texts = [" ".join(words), " ".join(words[less:]), " ".join(words[:-less]), " ".join(words + more)]
-        rows += [(10 * base + k, t) for k, t in enumerate(texts)]
-        rows.append((10 * base + 5, f"{passage} {' '.join(_varied(700 + base, 40))}"))
-    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    kept = sorted(r["doc_id"] for r in copies.without_near_copies(frame).collect())
-    assert kept == _kept_by_brute_force(rows)
-
-
-@pytest.mark.parametrize("few, cell", [(copies.FEW, copies.CELL), (0, 7)])
-def test_texts_below_the_similarity_stay(spark, monkeypatch, few, cell):
-    monkeypatch.setattr(copies, "FEW", few)
-    monkeypatch.setattr(copies, "CELL", cell)
-    rows = []
-    for base in range(20):
-        short = _varied(base, 10)  # five of seven shingles are common
-        rows += [(10 * base, " ".join(short)), (10 * base + 1, " ".join([*short[:-1], "other"]))]
-        words = _varied(100 + base, 200)
-        changed = list(words)
-        for place in range(5, 195, 190 // (5 + base % 3)):  # similarities of 0.66 to 0.78
-            changed[place] = "changed"
-        rows += [(10 * base + 2, " ".join(words)), (10 * base + 3, " ".join(changed))]
-    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    kept = sorted(r["doc_id"] for r in copies.without_near_copies(frame).collect())
-    assert kept == _kept_by_brute_force(rows) == [i for i, _ in rows]
+            changed[rng.integers(0, 400)] = f"changed{k}"
+            rows.append((100 * base + k, " ".join(changed)))
+    frame = spark.createDataFrame(rows[::-1], "doc_id bigint, text string").repartition(4)
+    components = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(frame).collect()}
+    assert len(set(components.values())) < 2 * 40
+    kept = [(r["doc_id"], r["text"]) for r in simhash.without_near_copies(frame).collect()]
+    assert sorted(kept) == sorted((i, t) for i, t in rows if components[i] == i)
+
+
+def test_rows_that_share_an_id_leave_one_of_their_group(spark):
+    words = " ".join(f"w{i}" for i in range(50))
+    other = " ".join(f"v{i}" for i in range(50))
+    rows = [(1, words), (1, words), (2, words), (1, other), (None, other), (None, "alone"), (None, "alone")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = [tuple(r) for r in simhash.without_near_copies(frame).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, words), (1, other), (None, "alone")], key=repr)
 
 
 def test_near_copies_of_awkward_rows(docs, nothing):
-    kept = copies.without_near_copies(docs)
+    kept = simhash.without_near_copies(docs)
     assert kept.columns == docs.columns
     texts = Counter(r["text"] or "" for r in kept.collect())
     assert texts == Counter({"": 1} | {r[1]: 1 for r in ROWS if (r[1] or "").split()})
-    assert copies.without_near_copies(nothing).collect() == []
+    assert simhash.without_near_copies(nothing).collect() == []
 
 
 @pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])

@@ -254,11 +254,11 @@ def fit_toxicity(
 def score_toxicity(
     docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """All columns of ``docs`` with ``__score`` (0 to 1) and ``__toxic`` (score at the threshold
-    or above). The score reads the whole text and nothing else; null counts as empty, and an
-    empty text scores what the intercept says. Rows stay as they are, repeated ones included.
+    """``doc``, a struct of all columns of ``docs`` whatever their names, ``score`` (0 to 1) and
+    ``toxic`` (score at the threshold or above). The score reads the whole text and nothing else;
+    null counts as empty, and an empty text scores what the intercept says. Rows stay as they
+    are, repeated ones included; no rows give none.
     """
-    names = docs.columns
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         extract, weights = Extractor(model.features), np.array(model.weights)
@@ -269,28 +269,33 @@ def score_toxicity(
             ]
             score = 1 / (1 + np.exp(-np.clip(np.array(z), -700, 700)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(score, pa.float64())], names=[*names, "__score"]
+                [batch.column("doc"), pa.array(score, pa.float64())], names=["doc", "score"]
             )
 
-    fields = StructType([*docs.schema.fields, StructField("__score", DoubleType())])
-    return docs.mapInArrow(scored, fields).withColumn("__toxic", F.col("__score") >= threshold)
+    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(packed, F.col("text"))
+    fields = StructType([rows.schema["doc"], StructField("score", DoubleType())])
+    return rows.mapInArrow(scored, fields).withColumn("toxic", F.col("score") >= threshold)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
-    """Per document ``doc_id``, ``held_out``, ``score`` and ``predicted`` (0 or 1)."""
+    """Per document ``doc_id``, ``held_out``, ``score`` and ``predicted`` (0 or 1).
+
+    Every row is scored, repeated ones too; null texts count as empty, and a null doc_id is no
+    row to learn from. Without labelled rows of both kinds all scores are equal. An empty table
+    gives no rows. Other columns are neither read nor returned.
+    """
     model = fit_toxicity(docs, labels, **settings)
     modulus, held_out = HELD_OUT
     marked = docs.select("doc_id", "text").withColumn(
         "held_out", crc_remainder("doc_id", modulus) == held_out
     )
     return score_toxicity(marked, model).select(
-        "doc_id",
-        "held_out",
-        F.col("__score").alias("score"),
-        F.col("__toxic").cast("int").alias("predicted"),
+        "doc.doc_id", "doc.held_out", "score", F.col("toxic").cast("int").alias("predicted")
     )
 
 
 def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that the model does not reject, with their own columns."""
-    return score_toxicity(docs, model, threshold).where(~F.col("__toxic")).drop("__score", "__toxic")
+    kept = score_toxicity(docs, model, threshold).where(~F.col("toxic"))
+    return kept.select(*[F.col(f"doc.`{c}`") for c in docs.columns])

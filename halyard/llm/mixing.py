@@ -105,8 +105,8 @@ def mix_sources(
     ``weights`` maps a source to its target share (normalised here); None gives every source
     that occurs the same share. With weights given, a source that they do not name is not
     wanted, so it has weight 0. A null source is a source of its own, which only ``None``
-    weights reach. Copies of one row are equal; ``with_copy`` adds ``copy`` (from 1). Rows that
-    share a doc_id draw the same count; null ids draw as empty text. Texts are not looked at,
+    weights reach. Copies of one row are equal; ``with_copy`` adds ``copy`` (from 1), in place of
+    a column of that name in any case. Rows that share a doc_id draw the same count; null ids draw as empty text. Texts are not looked at,
     so null, empty and long ones are rows like others. An empty table, or weights that are all
     0, give no rows. Extra columns are carried along.
     """
@@ -127,4 +127,5 @@ def mix_sources(
         partitions_for(docs.sparkSession), "__place"
     ).sortWithinPartitions("__place")
     added = [F.col("__copy").cast("long").alias("copy")] if with_copy else []
-    return shuffled.select(*[F.col(f"__doc.`{c}`") for c in docs.columns], *added)
+    own = [c for c in docs.columns if not (with_copy and c.lower() == "copy")]
+    return shuffled.select(*[F.col(f"__doc.`{c}`") for c in own], *added)

@@ -28,9 +28,11 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
 
 def discard(frame: DataFrame) -> None:
     """Delete the files of a stored frame that nothing reads any more."""
-    context = frame.sparkSession.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(frame.inputFiles()[0]).getParent()
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    files = frame.inputFiles()
+    if files:
+        context = frame.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_remainder(key: str, modulus: int) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from halyard.llm.tables import stored
+from halyard.llm.tables import discard, stored
 
 # --- fixed values: record layout ------------------------------------------------
 VERSION = "WARC/1.1"
@@ -71,11 +71,17 @@ def _index(pages: DataFrame, min_bytes: int) -> DataFrame:
     joined = narrow.join(repeated, "address", "left")
     other = F.col("keeper").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
     revisit = other & (F.col("payload_bytes") >= F.lit(min_bytes))
-    return joined.select(
-        *narrow.columns,
-        F.coalesce(F.col("keeper"), F.col("page_id")).alias("keeper"),
-        revisit.alias("revisit"),
+    index = stored(
+        joined.select(
+            *narrow.columns,
+            F.coalesce(F.col("keeper"), F.col("page_id")).alias("keeper"),
+            revisit.alias("revisit"),
+        ),
+        "warc-records",
     )
+    discard(narrow)
+    discard(repeated)
+    return index
 
 
 def _headers(index: DataFrame) -> DataFrame:
@@ -125,24 +131,26 @@ def write_archive(pages: DataFrame, path: str, *, min_bytes: int = 0) -> str:
     id; it can revisit but is never revisited, and stays a response where all ids are null. An
     empty table gives an empty archive. Other columns are not archived.
     """
-    index = stored(_index(pages, min_bytes), "warc-records")
+    index = _index(pages, min_bytes)
     _headers(index).write.option("compression", "zstd").parquet(f"{path}/headers")
     key = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("key")
     kept = index.where(F.col("page_id").eqNullSafe(F.col("keeper"))).select(key, "address")
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     own = pages.select(key, payload.alias("payload")).withColumn("own", F.sha2("payload", 256))
     kept = kept.dropDuplicates(["address"])
-    matched = own.join(kept, "key").where(F.col("own") == F.col("address"))
-    first = F.row_number().over(Window.partitionBy("key", "address").orderBy("own"))
+    matched = own.join(kept.withColumnRenamed("address", "own"), ["key", "own"])
+    # dealt as the join was, so payloads move once
+    first = F.row_number().over(Window.partitionBy("key", "own").orderBy("key"))
     once = matched.withColumn("place", first).where(F.col("place") == 1)
-    once.select("address", "payload").write.option("compression", "zstd").parquet(
+    once.select(F.col("own").alias("address"), "payload").write.option("compression", "zstd").parquet(
         f"{path}/payloads"
     )
+    discard(index)
     return path
 
 
 def _field(name: str, pattern: str) -> Column:
-    found = F.regexp_extract(F.col("text"), rf"(?m)^{name}: ({pattern})$", 1)
+    found = F.regexp_extract(F.col("text"), rf"(?md)^{name}: ({pattern})\r?$", 1)
     return F.nullif(found, F.lit(""))
 
 
@@ -200,7 +208,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     headers = spark.read.parquet(f"{path}/headers")
     text = F.decode("header", "UTF-8")
     named = headers.withColumn(
-        "page_id", F.nullif(F.regexp_extract(text, r"(?m)^X-Page-Id: (-?[0-9]*)$", 1), F.lit("")).cast("long")
+        "page_id", F.nullif(F.regexp_extract(text, r"(?md)^X-Page-Id: (-?[0-9]*)\r?$", 1), F.lit("")).cast("long")
     )
     tail = F.encode(F.lit(END + END), "UTF-8")
     body = F.when(F.col("bare"), F.encode(F.lit(""), "UTF-8")).otherwise(F.col("payload"))

@@ -1,21 +1,24 @@
 """Exact top-k search by selecting in histograms of scores.
 
-Queries are taken in blocks of bounded size, and a block meets all candidates. Pass after pass,
-every task scores its candidates and counts, per query, how many scores fall in each bin of the
-range that is still open; the counts are added up over the table and locate the bin that holds
-the k-th score, which is cut into bins again until it is a single score. A last pass keeps what
-is above the k-th score, and of those equal to it the smallest ids.
-
-A task need not send bins that lie wholly below k scores of its own, and of the scores that pass
-it sends at most k, so what is shuffled is bounded per task and query however many ties there are.
+Candidates and queries are dealt into blocks of bounded size, and every block of one meets every
+block of the other in a cell. Pass after pass, each cell scores its candidates and counts, per query,
+how many scores fall in each bin of the range that is still open; the counts are added up over the
+table and locate the bin that holds the k-th score, which is cut into bins again until it is a
+single score. A last pass keeps what is above the k-th score, and of those equal to it the smallest
+ids. All queries take a pass together, and their open ranges are a table: the number of jobs
+depends on the range of scores, not on the number of queries.
+
+A cell need not send bins that lie wholly below k scores of its own, and of the scores that pass
+it sends at most k, so what is shuffled is bounded per cell and query however many ties there are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,12 +30,15 @@ QUERY_STEP = 100
 NEIGHBOURS = 10
 # --- end of fixed values ----------------------------------------------------
 
-#: Expected queries per block; ids are dealt to blocks by hash.
-BLOCK = 512
+#: Expected queries and candidates of a block; ids are dealt to blocks by hash.
+QUERIES, CANDIDATES = 1 << 12, 1 << 16
 BINS = 1024
-#: Candidates scored at once: bounds memory at BLOCK * CHUNK scores.
-CHUNK = 2048
+#: Queries and candidates scored at once: bound the memory of a task.
+CHUNKS = 512, 2048
 EXACT = 2.0**53
+#: What is known of a query: least score, number of scores and of scores per bin of its open range,
+#: and the rank inside it of the score that is sought.
+STATE = ("low", "span", "width", "needed")
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -61,132 +67,173 @@ def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return (whole(queries) @ whole(candidates).T).astype(np.int64)
 
 
-class Block:
-    """The queries of a block and, per query, the range of scores that holds the k-th one."""
-
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors, k
-        self.low = np.zeros(len(ids), np.int64)
-        self.span = np.ones(len(ids), np.int64)  # scores in the open range
-        self.width = np.ones(len(ids), np.int64)  # scores in a bin of it
-        self.needed = np.full(len(ids), k, np.int64)  # rank inside the open range
-
-    def score_batches(
-        self, batches: Iterator[pa.RecordBatch]
-    ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Ids and scores of candidates, chunk by chunk, with a mask of those that count (a
-        query's own rows and vectors of another length do not)."""
-        dims = self.vectors.shape[1]
-        for batch in batches:
-            lists, ids = batch.column("v"), batch.column("vec_id").to_numpy()
-            fits = np.diff(lists.offsets.to_numpy()) == dims
-            flat = lists.filter(pa.array(fits)).flatten().to_numpy().reshape(-1, dims)
-            ids = ids[fits]
-            for start in range(0, len(ids), CHUNK):
-                part = slice(start, start + CHUNK)
-                found = scores(self.vectors, flat[part])
-                yield ids[part], found, self.ids[:, None] != ids[part][None, :]
-
-
-def _extent(block: Block):
-    """Per query, least and largest score and their number."""
+def _matrices(table: pa.Table, key: str) -> Iterator[tuple[int, np.ndarray, np.ndarray, pa.Table]]:
+    """Rows of one vector length after the other: the length, ids, vectors and the rows."""
+    lists = table.column("v").combine_chunks()
+    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    for dims in np.unique(lengths):
+        own = pa.array(lengths == dims)
+        flat = lists.filter(own).flatten().to_numpy(zero_copy_only=False)
+        rows = table.filter(own)
+        yield int(dims), rows.column(key).to_numpy(), flat.reshape(rows.num_rows, dims), rows
+
+
+def _scored(
+    held: pa.Table, asked: pa.Table
+) -> Iterator[tuple[np.ndarray, dict[str, np.ndarray], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]]:
+    """Per chunk of queries: their ids, their state, and chunk by chunk ids and scores of the candidates
+    with a mask of those that count (a query's own rows and vectors of another length do not)."""
+    candidates = {dims: (ids, flat) for dims, ids, flat, _ in _matrices(held, "vec_id")}
+
+    def chunks(own: np.ndarray, vectors: np.ndarray, dims: int):
+        ids, flat = candidates.get(dims, (np.zeros(0, np.int64), np.zeros((0, dims))))
+        for start in range(0, len(ids), CHUNKS[1]):
+            part = slice(start, start + CHUNKS[1])
+            yield ids[part], scores(vectors, flat[part]), own[:, None] != ids[part][None, :]
+
+    for dims, ids, vectors, rows in _matrices(asked, "query_id"):
+        known = {c: rows.column(c).to_numpy() for c in STATE if c in rows.column_names}
+        for start in range(0, len(ids), CHUNKS[0]):
+            part = slice(start, start + CHUNKS[0])
+            state = {c: x[part] for c, x in known.items()}
+            yield ids[part], state, chunks(ids[part], vectors[part], dims)
+
 
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(block.ids)
+def _table(columns: dict[str, list[np.ndarray]]) -> pa.Table:
+    joined = {c: np.concatenate([np.zeros(0, np.int64), *x]) for c, x in columns.items()}
+    return pa.table({c: pa.array(x, pa.int64()) for c, x in joined.items()})
+
+
+def _extent(held: pa.Table, asked: pa.Table) -> pa.Table:
+    """Per query, least and largest score and their number."""
+    found: dict[str, list[np.ndarray]] = {c: [] for c in ("query_id", "low", "high", "n")}
+    for ids, _, chunks in _scored(held, asked):
+        n = len(ids)
         low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, np.iinfo(np.int64).min)
         count = np.zeros(n, np.int64)
-        for _, found, counts in block.score_batches(batches):
-            low = np.minimum(low, np.where(counts, found, np.iinfo(np.int64).max).min(axis=1))
-            high = np.maximum(high, np.where(counts, found, np.iinfo(np.int64).min).max(axis=1))
+        for _, score, counts in chunks:
+            low = np.minimum(low, np.where(counts, score, np.iinfo(np.int64).max).min(axis=1))
+            high = np.maximum(high, np.where(counts, score, np.iinfo(np.int64).min).max(axis=1))
             count += counts.sum(axis=1)
-        seen = np.nonzero(count)[0]
-        arrays = [pa.array(x[seen]) for x in (np.arange(n), low, high, count)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["q", "low", "high", "n"])
+        seen = count > 0
+        for c, x in zip(found, (ids, low, high, count)):
+            found[c].append(x[seen])
+    return _table(found)
 
-    return measured
 
-
-def _histogram(block: Block):
+def _histogram(held: pa.Table, asked: pa.Table) -> pa.Table:
     """Counts per query and bin of the open range, without bins that cannot hold the k-th."""
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(block.ids)
+    found: dict[str, list[np.ndarray]] = {c: [] for c in ("query_id", "bin", "n")}
+    for ids, state, chunks in _scored(held, asked):
+        n = len(ids)
         counts = np.zeros((n, BINS), np.int64)
         first = (np.arange(n) * BINS)[:, None]
-        for _, found, valid in block.score_batches(batches):
-            place = found - block.low[:, None]
-            inside = valid & (place >= 0) & (place < block.span[:, None])
-            bins = place // block.width[:, None]
+        for _, score, valid in chunks:
+            place = score - state["low"][:, None]
+            inside = valid & (place >= 0) & (place < state["span"][:, None])
+            bins = place // state["width"][:, None]
             counts += np.bincount((bins + first)[inside], minlength=n * BINS).reshape(n, BINS)
         above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
-        q, place = np.nonzero((counts > 0) & (above < block.needed[:, None]))
-        arrays = [pa.array(q), pa.array(place), pa.array(counts[q, place])]
-        yield pa.RecordBatch.from_arrays(arrays, names=["q", "bin", "n"])
-
-    return counted
-
-
-def _selected(block: Block):
-    """The task's best k of the scores at or above the k-th score, ties to smaller ids."""
-
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best_id = [np.zeros(0, np.int64) for _ in block.ids]
-        best_score = [np.zeros(0, np.int64) for _ in block.ids]
-        for ids, found, valid in block.score_batches(batches):
-            passing = valid & (found >= block.low[:, None])
-            for q in np.nonzero(passing.any(axis=1))[0]:
-                own = passing[q]
-                all_ids = np.concatenate([best_id[q], ids[own]])
-                all_scores = np.concatenate([best_score[q], found[q, own]])
-                order = np.lexsort((all_ids, -all_scores))[: block.k]
-                best_id[q], best_score[q] = all_ids[order], all_scores[order]
-        sizes = [len(x) for x in best_id]
-        q = np.repeat(block.ids, sizes)
-        arrays = [pa.array(q), pa.array(np.concatenate([np.zeros(0, np.int64), *best_id])), pa.array(np.concatenate([np.zeros(0, np.int64), *best_score]))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["query_id", "vec_id", "score"])
+        q, place = np.nonzero((counts > 0) & (above < state["needed"][:, None]))
+        for c, x in zip(found, (ids[q], place, counts[q, place])):
+            found[c].append(x)
+    return _table(found)
+
+
+def _selected(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """A cell's best k of the scores at or above the k-th score, ties to smaller ids."""
+
+    def kept(held: pa.Table, asked: pa.Table) -> pa.Table:
+        found: dict[str, list[np.ndarray]] = {c: [] for c in ("query_id", "vec_id", "score")}
+        for ids, state, chunks in _scored(held, asked):
+            best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in ids]
+            for others, score, valid in chunks:
+                passing = valid & (score >= state["low"][:, None])
+                for q in np.nonzero(passing.any(axis=1))[0]:
+                    own = passing[q]
+                    all_ids = np.concatenate([best[q][0], others[own]])
+                    all_scores = np.concatenate([best[q][1], score[q, own]])
+                    order = np.lexsort((all_ids, -all_scores))[:k]
+                    best[q] = all_ids[order], all_scores[order]
+            found["query_id"].append(np.repeat(ids, [len(b[0]) for b in best]))
+            found["vec_id"] += [b[0] for b in best]
+            found["score"] += [b[1] for b in best]
+        return _table(found)
 
     return kept
 
 
-def _refine(candidates: DataFrame, block: Block) -> None:
-    """Narrow the open range of every query to the k-th score (all scores, if there are fewer)."""
-    extent = candidates.mapInArrow(_extent(block), "q bigint, low bigint, high bigint, n bigint")
-    ranges = extent.groupBy("q").agg(F.min("low"), F.max("high"), F.sum("n")).collect()
-    for q, low, high, n in ranges:
-        block.low[q], block.needed[q] = low, min(block.k, n)
-        block.span[q] = high - low + 1
-    while (block.span > 1).any():
-        block.width = -(-block.span // BINS)
-        counts = candidates.mapInArrow(_histogram(block), "q bigint, bin bigint, n bigint")
-        summed = counts.groupBy("q", "bin").agg(F.sum("n").alias("n"))
-        from_top = Window.partitionBy("q").orderBy(F.desc("bin"))
+class _Cells:
+    """Blocks of candidates and queries that meet."""
+
+    def __init__(self, candidates: DataFrame, is_query: Column, sizes: tuple[int, int]):
+        counts = candidates.agg(F.count_if(is_query), F.count(F.lit(1))).first()
+        self.blocks = [max(1, -(-n // size)) for n, size in zip(counts, sizes)]
+        numbers = [F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int") for n in self.blocks]
+        every = [F.explode(F.sequence(F.lit(0), F.lit(n - 1))) for n in self.blocks]
+        self.held = candidates.select(
+            every[0].alias("query_block"), numbers[1].alias("block"), "vec_id", "v"
+        )
+        self.queries = candidates.where(is_query).select(
+            F.col("vec_id").alias("query_id"), F.col("v"), numbers[0].alias("own_block")
+        )
+        self.meeting = every[1].alias("met_block")
+
+    def each(
+        self, find: Callable[[pa.Table, pa.Table], pa.Table], state: DataFrame | None, fields: str
+    ) -> DataFrame:
+        """What ``find`` gives for every cell; with a state, for the queries that have one."""
+        asked = self.queries if state is None else self.queries.join(state, "query_id")
+        asked = asked.select("*", self.meeting)
+        asked = asked.toDF(*asked.columns)  # columns apart from those of the candidates
+        return (
+            self.held.groupBy("query_block", "block")
+            .cogroup(asked.groupBy("own_block", "met_block"))
+            .applyInArrow(find, fields)
+        )
+
+
+def _refined(cells: _Cells, k: int) -> DataFrame:
+    """The state of every query once its range is the k-th score (the least, if there are fewer)."""
+    extent = cells.each(_extent, None, "query_id bigint, low bigint, high bigint, n bigint")
+    ranges = extent.groupBy("query_id").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")
+    )
+
+    def with_width(state: DataFrame) -> DataFrame:
+        width = F.expr(f"(span + {BINS - 1}) div {BINS}")
+        return stored(state.withColumn("width", width).select("query_id", *STATE), "topk-state")
+
+    span = (F.col("high") - F.col("low") + 1).alias("span")
+    state = with_width(ranges.select("query_id", "low", span, F.least(F.lit(k), F.col("n")).alias("needed")))
+    while not (open_ := state.where("span > 1")).isEmpty():
+        counts = cells.each(_histogram, open_, "query_id bigint, bin bigint, n bigint")
+        summed = counts.groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
+        from_top = Window.partitionBy("query_id").orderBy(F.desc("bin"))
         through = F.sum("n").over(from_top.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        needed = F.element_at(F.lit(block.needed.tolist()), (F.col("q") + 1).cast("int"))
-        located = summed.withColumn("through", through).where(
-            (F.col("through") >= needed) & (F.col("through") - F.col("n") < needed)
+        located = (
+            summed.withColumn("through", through)
+            .join(open_.select("query_id", "low", "width", "needed"), "query_id")
+            .where((F.col("through") >= F.col("needed")) & (F.col("through") - F.col("n") < F.col("needed")))
         )
-        for q, place, above in located.select("q", "bin", F.col("through") - F.col("n")).collect():
-            block.low[q] += place * block.width[q]
-            block.needed[q] -= above
-        block.span = block.width
-
-
-def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Query ids and vectors, block by block (and by vector length inside a block)."""
-    blocks = max(1, -(-queries.count() // size))
-    numbered = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    for number in range(blocks):
-        rows = numbered.where(F.col("block") == number).select("vec_id", "v").collect()
-        for dims in sorted({len(v) for _, v in rows}):
-            own = [r for r in rows if len(r[1]) == dims]
-            yield (
-                np.array([r[0] for r in own], np.int64),
-                np.array([r[1] for r in own], float).reshape(len(own), dims),
-            )
+        narrowed = located.select(
+            "query_id",
+            (F.col("low") + F.col("bin") * F.col("width")).alias("low"),
+            F.col("width").alias("span"),
+            (F.col("needed") - (F.col("through") - F.col("n"))).alias("needed"),
+        )
+        done = state.where("span <= 1").select("query_id", "low", "span", "needed")
+        state = with_width(done.unionByName(narrowed))
+    return state
 
 
 def top_k(
-    vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, *, block: int = BLOCK
+    vectors: DataFrame,
+    is_query: Column,
+    k: int = NEIGHBOURS,
+    *,
+    queries: int = QUERIES,
+    candidates: int = CANDIDATES,
 ) -> DataFrame:
     """The ``k`` highest scores of every query among all rows but its own: ``query_id``, ``rank``
     (from 1), ``vec_id``, ``score``, ties to the smaller id; all, if there are fewer.
@@ -197,22 +244,9 @@ def top_k(
     vectors score 0 with each other. Other columns are not read.
     """
     one = quantised(vectors).groupBy("vec_id").agg(F.min("v").alias("v"))
-    candidates = stored(one, "topk-vectors")
-    results = []
-    for ids, values in _blocks(candidates.where(is_query), block):
-        part = Block(ids, values, k)
-        _refine(candidates, part)
-        found = candidates.mapInArrow(
-            _selected(part), "query_id bigint, vec_id bigint, score bigint"
-        )
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        results.append(stored(ranked, "topk-block"))
-    if not results:
-        return candidates.where("false").selectExpr(
-            "vec_id AS query_id", "vec_id", "0L AS score", "0 AS rank"
-        ).select("query_id", "rank", "vec_id", "score")
-    merged = results[0]
-    for other in results[1:]:
-        merged = merged.union(other)
-    return merged.select("query_id", "rank", "vec_id", "score")
+    cells = _Cells(stored(one, "topk-vectors"), is_query, (queries, candidates))
+    state = _refined(cells, k)
+    found = cells.each(_selected(k), state, "query_id bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")

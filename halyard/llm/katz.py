@@ -173,7 +173,9 @@ def _opened(row, order: int) -> tuple[list[Grams], np.ndarray, np.ndarray, np.nd
 
 
 def _requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
-    """Per block, order and part: ``keys`` (sorted) and ``own``, the block's training counts."""
+    """Per block, order and part: ``keys`` (sorted) and ``own``, the block's training counts. Parts
+    in which a block has no key are left out, so there are never more requests than n-grams,
+    however many blocks and parts the corpus makes."""
 
     def asked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -182,11 +184,12 @@ def _requests(blocks: DataFrame, order: int, parts: int) -> DataFrame:
                 for n, g in enumerate(grams, 1):
                     own = np.bincount(g.at[training], minlength=len(g.keys)).astype("<i4")
                     bounds = parts_of(g.keys, parts)
-                    slices = [slice(a, b) for a, b in zip(bounds, bounds[1:])]
+                    asks = np.nonzero(np.diff(bounds))[0]
+                    slices = [slice(bounds[p], bounds[p + 1]) for p in asks]
                     yield pd.DataFrame(
                         {
                             "n": n,
-                            "part": range(parts),
+                            "part": asks,
                             "block": row.block,
                             "keys": [g.keys[s].tobytes() for s in slices],
                             "own": [own[s].tobytes() for s in slices],

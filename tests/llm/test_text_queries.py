@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -14,6 +15,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+import regex
 import xxhash
 from tokenizers import Tokenizer
 
@@ -103,6 +105,82 @@ def test_personal_data_spans_equal_plain_patterns(spark):
         assert [found[i][f"n_{k}"] for k in PLAIN] == [counts[k] for k in PLAIN]
 
 
+def _entity(kind: str, value: str) -> str:
+    return f"{kind}:" + (value.lower() if kind == "email" else value if kind == "ip" else re.sub("[^0-9]", "", value))
+
+
+def _near(text: str, start: int, end: int) -> list[tuple[str, int, int]]:
+    """Words near a span that its window does not cut."""
+    word = regex.compile(r"(?<![\p{L}\p{N}@._%+-])\p{L}{2,}+(?![\p{N}@])")
+    since = max(0, start - 120)
+    left = [(m.group().lower(), m.start() + since, m.end() + since) for m in word.finditer(text[since:start]) if m.start() or not since]
+    right = [(m.group().lower(), m.start() + end, m.end() + end) for m in word.finditer(text[end : end + 121]) if m.end() <= 120]
+    return left + right
+
+
+def plain_terms(texts: list[str]) -> list[list[tuple[int, int]]]:
+    """Per text the spans of disclosing terms: Wilson's lower bound of the share of a term's places
+    that are near an entity, as information about the entity."""
+    word = regex.compile(r"(?<![\p{L}\p{N}@._%+-])\p{L}{2,}+(?![\p{N}@])")
+    holding, beside, held = defaultdict(set), defaultdict(set), defaultdict(set)
+    found = []
+    for row, text in enumerate(texts):
+        found.append([])
+        for term in {m.group() for m in word.finditer(text.lower())}:
+            holding[term].add(row)
+        for kind, start, end in plain_spans(text):
+            entity, near = _entity(kind, text[start:end]), _near(text, start, end)
+            held[entity].add(row)
+            context = " ".join(t for t, _, _ in near)
+            found[-1].append((entity, near))
+            for term, _, _ in near:
+                beside[entity, term].add((context, row))
+    total, spans = len(texts), []
+    for mentions in found:
+        spans.append(set())
+        for entity, near in mentions:
+            for term, start, end in near:
+                places = beside[entity, term]
+                n_et = sum(len({r for c, r in places if c == one}) for one in {c for c, _ in places})
+                k = len({c for c, _ in places})
+                n = k + max(0, len(holding[term]) - n_et)
+                share, z = k / n, 1.96
+                low = (share + z * z / (2 * n) - z * math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+                information = math.log(total / len(held[entity]))
+                if information > 0 and math.log(total * low / len(held[entity])) / information >= 0.8:
+                    spans[-1].add((start, end))
+    return [sorted(s) for s in spans]
+
+
+def test_term_spans_equal_brute_force(spark):
+    planted = [
+        f"{'common words ' * (i % 7)}zebra{'abcdefghij'[i % 10]}x wrote to person{i % 300}@x.org,"
+        f" {'Ünal'[: 1 + i % 4]}{''.join('abcdefghij'[int(d)] for d in str(i % 300))} of 10.0.{i % 40}.7, Lee."
+        for i in range(1200)
+    ]
+    texts = [*AWKWARD, *planted, *planted[:50], *[r["text"] for r in documents()]]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    wanted = plain_terms([t or "" for t in texts])
+    assert sum(map(len, wanted)) > 20
+    for r in rows_of(privacy.personal_data(docs)):
+        terms = [s.split(":")[1:] for s in (r["spans"] or "").split(",") if s.startswith("term:")]
+        assert [(int(a), int(b)) for a, b in terms] == wanted[r["doc_id"]]
+        assert r["n_term"] == len(terms)
+
+
+def test_texts_of_many_matches_take_time_in_proportion(spark):
+    text = "\n".join(f"{i >> 16}.{i >> 8 & 255}.{i & 255}.9 connection opened" for i in range(40_000))
+    docs = spark.createDataFrame([(1, text), (2, "é" * 5_000 + " a@b.c " + "word " * 5_000)], "doc_id bigint, text string")
+    began = time.time()
+    found = {r["doc_id"]: r for r in rows_of(privacy.personal_data(docs))}
+    assert found[1]["n_ip"] == len(re.findall(PLAIN["ip"], text)) and found[2]["n_email"] == 1
+    clean = {r["doc_id"]: r["text"] for r in rows_of(privacy.sanitise(docs))}
+    assert clean[1] == "\n".join(["[IP] connection opened"] * 40_000)
+    assert clean[2] == "é" * 5_000 + " [EMAIL] " + "word " * 5_000
+    assert time.time() - began < 120  # both, with the jobs around them; it was 140 s for the spans
+
+
 def test_packing_round_trip(spark):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     docs = documents()
@@ -287,6 +365,19 @@ def test_katz_equals_brute_force(spark, order, monkeypatch):
         assert total + chance(order, (*padded[-(order - 1) :], "\0")[-order:]) == pytest.approx(1.0)
 
 
+def test_katz_asks_for_no_more_than_its_ngrams(spark, monkeypatch):
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 50)
+    frame = spark.createDataFrame([(i, f"a{i} b c{i % 3}") for i in range(200)], "doc_id bigint, text string")
+    blocks = katz.tokenised(frame.withColumn("held_out", frame["doc_id"] < 0))
+    asked = {}
+    for parts in (4, 40, 4000):
+        rows = katz._requests(blocks, 2, parts).collect()
+        assert all(len(r["keys"]) for r in rows)
+        asked[parts] = len(rows), sum(len(r["keys"]) // 8 for r in rows)
+    assert len({ngrams for _, ngrams in asked.values()}) == 1
+    assert asked[4000][0] <= asked[4000][1] < 200 * 9
+
+
 def test_toxicity_learns_held_out_labels(spark):
     larger = "/root/testdata/sf0.1"
     labels = {

@@ -1,3 +1,3 @@
-from halyard.streaming.scoring import score_stream
+from halyard.streaming.scoring import promoted_scorer, score_stream, score_stream_promoted
 
-__all__ = ["score_stream"]
+__all__ = ["promoted_scorer", "score_stream", "score_stream_promoted"]

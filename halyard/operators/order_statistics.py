@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from halyard.functions.scalar import safe_divide
 
 SKETCH_GROUPS = 200
+#: Ranges up to which the driver merges the sketches: that many numbers per group and column.
+DRIVER_RANGES = 64
 _RANGE, _PART = "__range", "__part"
 
 
@@ -43,14 +45,37 @@ def _weighted_cuts(sketches: list[tuple[int, Sequence[float]]], ranges: int) ->
     return cuts
 
 
+def _merged_cuts(groups: DataFrame, columns: int, ranges: int) -> DataFrame:
+    """What ``_weighted_cuts`` does, in the cluster: ``i`` and ``cuts`` per column that has a value.
+
+    A column has at most ``SKETCH_GROUPS`` points per range, which one task orders."""
+    sketches = F.array(
+        *[
+            F.struct(F.lit(i).alias("i"), F.col(f"rows{i}").alias("n"), F.col(f"points{i}").alias("points"))
+            for i in range(columns)
+        ]
+    )
+    each = groups.select(F.inline(sketches)).where(F.col("n") > 0)
+    weight = (F.col("n") / F.size("points")).alias("weight")
+    points = each.select("i", weight, F.explode("points").alias("value"))
+    column = Window.partitionBy("i")
+    ordered = column.orderBy("value", "weight")
+    through = F.sum("weight").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    share = through * ranges / F.sum("weight").over(column)
+    reached = points.withColumn("cut", F.least(F.lit(ranges - 1), F.floor(share)))
+    new = F.col("cut") - F.coalesce(F.lag("cut").over(ordered), F.lit(0))
+    repeated = reached.withColumn("value", F.array_repeat("value", new.cast("int")))
+    return repeated.groupBy("i").agg(F.array_sort(F.flatten(F.collect_list("value"))).alias("cuts"))
+
+
 def _cut_points(frame: DataFrame, columns: Sequence[str], ranges: int) -> list[list[float]]:
     """About ``ranges`` balanced cut points per column; a heavy value appears several times.
 
     Quantile sketches are made in up to ``SKETCH_GROUPS`` groups of input partitions, so no
     task and not the driver merges one per input partition, and count as many rows as they
-    saw: a group of a few rows hardly moves a cut. The driver gets at most ``SKETCH_GROUPS``
-    numbers per range and column. Infinite values and NaN are not counted; they fall into the
-    first or last range.
+    saw: a group of a few rows hardly moves a cut. The groups are merged where they are, and the
+    driver gets one list per column; only few ranges, that is few numbers, it merges itself.
+    Infinite values and NaN are not counted; they fall into the first or last range.
     """
     if ranges < 2:
         return [[] for _ in columns]
@@ -64,6 +89,9 @@ def _cut_points(frame: DataFrame, columns: Sequence[str], ranges: int) -> list[l
         )
     ]
     groups = frame.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))).agg(*sketches)
+    if ranges > DRIVER_RANGES:
+        merged = {r["i"]: r["cuts"] for r in _merged_cuts(groups, len(columns), ranges).collect()}
+        return [merged.get(i, []) for i in range(len(columns))]
     collected = groups.collect()
     return [
         _weighted_cuts([(r[f"rows{i}"], r[f"points{i}"]) for r in collected if r[f"rows{i}"]], ranges)

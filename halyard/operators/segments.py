@@ -6,18 +6,19 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from halyard.contract import GENRES, SEED, affinity_columns
 from halyard.functions.scalar import first_largest, round_half_away
 from halyard.operators.splitting import hash_sample
+from halyard.sources.tables import materialise
+from halyard.sources.workspace import workspace_path
 
 # --- fixed values: search range and sampling --------------------------------
 K_RANGE = range(3, 9)
@@ -28,9 +29,60 @@ SILHOUETTE_DIGITS = 4
 # --- end of fixed values ----------------------------------------------------
 
 FITS_AT_ONCE = 8
+#: Sampled rows that a task compares with as many others.
+PART = 512
 _VECTOR = "__scaled"
 
 
+def _sample_parts(
+    sample: DataFrame, dimensions: Sequence[str], names: Sequence[str], key: str, parts: int
+) -> DataFrame:
+    """The sample dealt by key into parts, a row per part: its number, the points one after the
+    other, and the clusters that each assignment gives them."""
+    row = F.struct(
+        key,
+        F.array(*[F.col(c) for c in dimensions]).alias("point"),
+        F.array(*[F.col(a) for a in names]).alias("clusters"),
+    )
+    dealt = sample.select(F.pmod(F.xxhash64(key), F.lit(parts)).alias("part"), row.alias("row"))
+    return (
+        dealt.groupBy("part")
+        .agg(F.array_sort(F.collect_list("row")).alias("rows"))
+        .select("part", F.col("rows.point").alias("points"), F.col("rows.clusters").alias("clusters"))
+    )
+
+
+def _distance_sums(batches: Iterator) -> Iterator:
+    """Per pair of parts: for every row of the first and every cluster of the second, the number
+    of the cluster's rows there and the sum of the distances to them."""
+    import numpy as np
+    import pandas as pd
+
+    for batch in batches:
+        for pair in batch.itertuples(index=False):
+            mine, theirs = np.stack(pair.points), np.stack(pair.other_points)
+            squared = np.zeros((len(mine), len(theirs)))
+            for d in range(mine.shape[1]):
+                squared += (mine[:, d, None] - theirs[None, :, d]) ** 2
+            distances = np.sqrt(squared)
+            own, other = np.stack(pair.clusters), np.stack(pair.other_clusters)
+            for a in range(own.shape[1]):
+                groups, member, sizes = np.unique(other[:, a], return_inverse=True, return_counts=True)
+                sums = distances @ np.eye(len(groups))[member]
+                n = len(mine)
+                yield pd.DataFrame(
+                    {
+                        "assignment": a,
+                        "part": pair.part,
+                        "row": np.repeat(np.arange(n), len(groups)),
+                        "own": np.repeat(own[:, a], len(groups)),
+                        "cluster": np.tile(groups, n),
+                        "total": sums.ravel(),
+                        "n": np.tile(sizes, n),
+                    }
+                )
+
+
 def sampled_silhouette(
     frame: DataFrame,
     columns: Sequence[str],
@@ -41,8 +93,9 @@ def sampled_silhouette(
 ) -> DataFrame:
     """Mean Euclidean silhouette of a fixed-size sample, for one or more assignments.
 
-    The table is read once, for the sample, which is bounded by ``sample_size``. The sample is
-    shipped to every task, and each task compares its share of the sampled rows with it.
+    The table is read once, for the sample, which is stored in parts. Every part meets every
+    other in a task of its own, which sums distances per cluster; the sums are added up by row
+    and cluster. No row passes the driver, and a larger sample is more tasks of the same size.
     All assignments use the same sample and the same distances. A singleton scores 0. With
     fewer than two clusters in the sample there is no silhouette (null).
     """
@@ -51,50 +104,41 @@ def sampled_silhouette(
         *[F.col(c).cast("double").alias(c) for c in columns],
         *[F.col(a).cast("int").alias(a) for a in assignments],
     )
+    drawn = hash_sample(needed, sample_size, key, seed)
     spark = frame.sparkSession
-    schema = StructType([f for f in needed.schema if f.name != key])
-    drawn = hash_sample(needed, sample_size, key, seed).drop(key).toPandas()
-    shipped = spark.sparkContext.broadcast(drawn)
-    sample = spark.createDataFrame(drawn, schema).repartition(1 + len(drawn) // 500)
-    names, dimensions = list(assignments), list(columns)
-
-    def silhouettes(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
-
-        everyone = shipped.value
-        points = everyone[dimensions].to_numpy()
-        for batch in batches:
-            for start in range(0, len(batch), 256):
-                part = batch.iloc[start : start + 256]
-                mine = part[dimensions].to_numpy()
-                squared = np.zeros((len(part), len(points)))
-                for d in range(len(dimensions)):
-                    squared += (mine[:, d, None] - points[None, :, d]) ** 2
-                distances = np.sqrt(squared)
-                for name in names:
-                    own = part[name].to_numpy()
-                    groups, member = np.unique(everyone[name].to_numpy(), return_inverse=True)
-                    sizes = np.bincount(member)
-                    to_group = distances @ np.eye(len(groups))[member]
-                    position = np.searchsorted(groups, own)
-                    rows = np.arange(len(part))
-                    inside = to_group[rows, position] / np.maximum(sizes[position] - 1, 1)
-                    means = to_group / sizes
-                    means[rows, position] = np.inf
-                    nearest = means.min(axis=1)
-                    larger = np.maximum(inside, nearest)
-                    with np.errstate(invalid="ignore", divide="ignore"):
-                        value = np.where(larger > 0, (nearest - inside) / larger, 0.0)
-                    value[sizes[position] == 1] = 0.0
-                    if len(groups) < 2:
-                        value = np.full(len(part), np.nan)
-                    yield pd.DataFrame({"assignment": name, "value": value})
-
-    values = sample.mapInPandas(silhouettes, "assignment string, value double")
-    return values.groupBy("assignment").agg(
-        F.avg(F.nanvl("value", F.lit(None).cast("double"))).alias("silhouette"),
-        F.count(F.lit(1)).alias("n_sampled"),
+    sample = materialise(drawn, workspace_path(spark, "silhouette-sample"))
+    count = -(-sample.count() // PART)
+    parts = materialise(
+        _sample_parts(sample, columns, assignments, key, max(count, 1)),
+        workspace_path(spark, "silhouette-parts"),
+    )
+    others = parts.select(
+        F.col("part").alias("other"),
+        F.col("points").alias("other_points"),
+        F.col("clusters").alias("other_clusters"),
+    )
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))
+    met = parts.withColumn("other", every).join(others, "other")
+    sums = met.repartition("part", "other").mapInPandas(
+        _distance_sums,
+        "assignment int, part bigint, row bigint, own int, cluster int, total double, n bigint",
+    )
+    to_cluster = sums.groupBy("assignment", "part", "row", "own", "cluster").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n")
+    )
+    inside = F.col("own") == F.col("cluster")
+    sides = to_cluster.groupBy("assignment", "part", "row").agg(
+        F.max(F.when(inside & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
+        F.min(F.when(~inside, F.col("total") / F.col("n"))).alias("b"),
+    )
+    larger = F.nullif(F.greatest("a", "b"), F.lit(0.0))
+    value = F.when(F.col("a").isNull(), F.lit(0.0)).otherwise(
+        F.coalesce((F.col("b") - F.col("a")) / larger, F.lit(0.0))
+    )
+    name = F.element_at(F.array(*[F.lit(a) for a in assignments]), F.col("assignment") + 1)
+    alone = F.max("b").isNull()
+    return sides.groupBy(name.alias("assignment")).agg(
+        F.when(~alone, F.avg(value)).alias("silhouette"), F.count(F.lit(1)).alias("n_sampled")
     )
 
 
@@ -168,28 +212,26 @@ def kmeans_sweep(
 ) -> KMeansSweep:
     """Fit each k several times, keep the lowest cost, choose k by sampled silhouette.
 
-    The winning fit is reused, not refitted. Every fit reads the same persisted vectors.
+    The winning fit is reused, not refitted. Every fit reads the same stored vectors, so a lost
+    executor costs no recomputation of features.
     """
     scaling = scaling_stage(affinity, columns)
     scaled_columns = [f"{c}_scaled" for c in columns]
     assembler = VectorAssembler(inputCols=scaled_columns, outputCol=_VECTOR)
     vectors = assembler.transform(scaling.transform(affinity.select(key, *columns)))
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        models = _best_restarts(vectors, k_range, restarts, seed)
-        assigned = vectors
-        for k, fitted in models.items():
-            assigned = (
-                fitted.transform(assigned).withColumn(f"k{k}", F.col("segment")).drop("segment")
-            )
-        silhouettes = {
-            row["assignment"]: row["silhouette"]
-            for row in sampled_silhouette(
-                assigned, scaled_columns, [f"k{k}" for k in models], sample_size, key, seed
-            ).collect()
-        }
-    finally:
-        vectors.unpersist()
+    vectors = materialise(vectors, workspace_path(affinity.sparkSession, "kmeans-vectors"))
+    models = _best_restarts(vectors, k_range, restarts, seed)
+    assigned = vectors
+    for k, fitted in models.items():
+        assigned = (
+            fitted.transform(assigned).withColumn(f"k{k}", F.col("segment")).drop("segment")
+        )
+    silhouettes = {
+        row["assignment"]: row["silhouette"]
+        for row in sampled_silhouette(
+            assigned, scaled_columns, [f"k{k}" for k in models], sample_size, key, seed
+        ).collect()
+    }
     candidates = affinity.sparkSession.createDataFrame(
         [(k, m.summary.trainingCost, silhouettes[f"k{k}"]) for k, m in models.items()],
         "k int, inertia double, silhouette double",

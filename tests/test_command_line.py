@@ -4,9 +4,12 @@ import random
 import sys
 
 import pytest
+from pyspark.sql import functions as F
 
 from halyard import __main__ as command_line
 from halyard.contract import GENRES, SUBSCRIBERS, activity_schema
+from halyard.operators import learning
+from halyard.plans import DifferentJobError, jobs
 from halyard.sources import write_csv
 
 
@@ -68,3 +71,48 @@ def test_parquet_inputs_are_conformed(spark, tmp_path, monkeypatch, tables):
 def test_unknown_job_is_refused(monkeypatch):
     with pytest.raises(SystemExit):
         run(monkeypatch, "other")
+
+
+def test_training_from_a_view_scoring_stream_offers_and_targets(spark, tmp_path, monkeypatch, tables):
+    views, churn = str(tmp_path / "views"), str(tmp_path / "churn")
+    base = ("--subscribers", tables["subscribers"], "--activity", tables["activity"])
+    run(monkeypatch, "views", *base, "--output", views, "--digits", "2", "--missing-month", "null")
+    spark.read.parquet(f"{views}/churn_training_view").createOrReplaceTempView("cli_churn_view")
+    registry = str(tmp_path / "registry")
+    monkeypatch.setitem(learning.CHURN_SETTINGS, "maxIter", 2)
+    train = ("--view", "cli_churn_view", "--output", churn, "--registry", registry, "--version", "v1")
+    run(monkeypatch, "churn", *train, "--run", "1", "--min-auc", "0.0")
+    monkeypatch.setattr(jobs, "fit", lambda *a: pytest.fail("fitted again"))
+    run(monkeypatch, "churn", *train, "--run", "1", "--min-auc", "0.0", "--resume")
+    with pytest.raises(DifferentJobError):
+        run(monkeypatch, "churn", *train, "--run", "2", "--resume")
+
+    accounts = str(tmp_path / "arriving")
+    spark.table("cli_churn_view").drop("label").write.parquet(accounts)
+    stream = str(tmp_path / "stream")
+    run(
+        monkeypatch, "stream", "--registry", registry, "--source", accounts, "--like", accounts,
+        "--output", stream, "--checkpoint", str(tmp_path / "checkpoint"),
+    )
+    scored = spark.read.parquet(stream)
+    assert scored.count() == 30 and {r["version"] for r in scored.collect()} == {"v1"}
+
+    offers = str(tmp_path / "offers")
+    run(monkeypatch, "offers", "--scores", stream, "--budget", "7", "--output", offers)
+    assert sorted(r["offer_rank"] for r in spark.read.parquet(offers).collect()) == list(range(1, 8))
+
+    segments, targets = str(tmp_path / "segments"), str(tmp_path / "targets")
+    viewing = spark.read.parquet(f"{views}/viewing_features")
+    viewing.withColumn("segment", F.col("account_id") % 3).write.parquet(segments)
+    run(
+        monkeypatch, "retention", "--scores", stream, "--segmented", segments, "--output", targets,
+        "--quantile", "0.8",
+    )
+    found = spark.read.parquet(targets)
+    assert 6 <= found.count() < 30 and found.where("offer LIKE '%_save_offer'").count() == found.count()
+
+
+@pytest.mark.parametrize("given", [(), ("--view", "v", "--activity", "a"), ("--subscribers", "s")])
+def test_a_job_needs_either_a_view_or_its_tables(monkeypatch, given):
+    with pytest.raises(SystemExit):
+        run(monkeypatch, "propensity", "--output", "o", *given)

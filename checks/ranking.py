@@ -171,7 +171,7 @@ def write_metrics_json(spark, sf):
 # --- splits -----------------------------------------------------------------
 
 
-def _split_cte(source: str) -> dict[str, str]:
+def split_cte(source: str) -> dict[str, str]:
     return {
         "strata": f"SELECT label, count(*) AS n FROM {source} GROUP BY label",
         "shares": "SELECT *, ((sum(n) OVER () + 4) // 5) AS take_all,"
@@ -187,7 +187,7 @@ def _split_cte(source: str) -> dict[str, str]:
 
 @query(
     "stratified_split",
-    with_tables("scored_orders", **_split_cte("scored_orders"))
+    with_tables("scored_orders", **split_cte("scored_orders"))
     + "SELECT account_id, label, is_test FROM split",
 )
 def stratified_split(spark, sf):
@@ -203,7 +203,7 @@ def _stored_split(spark: SparkSession, sf: str) -> DataFrame:
 
 def _evaluation_sql(base_name: str, top: bool, everyone: str = "") -> str:
     source = "scored_orders"
-    ctes = _split_cte(source) | _ladder_ctes("split", "WHERE is_test")
+    ctes = split_cte(source) | _ladder_ctes("split", "WHERE is_test")
     ctes["cut"] = "SELECT quantile_cont(score, 0.9) AS q FROM split WHERE is_test"
     top_columns = (
         f"{half_away('(SELECT q FROM cut)', 4)} AS top_decile_threshold, "
@@ -440,6 +440,50 @@ def silhouette_sampled(spark, sf):
     return _round6(measured, "silhouette")
 
 
+_POINTS_SQL = (
+    "SELECT o_orderkey AS account_id, o_totalprice / 100000e0 AS x,"
+    " CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) / 1000e0 AS y,"
+    " CAST(left(o_orderpriority, 1) AS INTEGER) AS priority, CAST(o_orderkey % 3 AS INTEGER) AS third FROM orders"
+)
+
+
+def _gaps_sql(assignment: str) -> str:
+    return (
+        f"SELECT x.account_id, x.{assignment} AS own, y.{assignment} AS other,"
+        " sum(sqrt((x.x - y.x) ** 2 + (x.y - y.y) ** 2)) AS total, count(*) AS n"
+        " FROM points x CROSS JOIN points y GROUP BY 1, 2, 3"
+    )
+
+
+def _order_silhouettes_sql() -> str:
+    sides = (
+        "SELECT account_id, max(CASE WHEN own = other AND n > 1 THEN total / (n - 1) END) AS a,"
+        " min(CASE WHEN own <> other THEN total / n END) AS b FROM ({}) GROUP BY account_id"
+    )
+    return with_tables(
+        everyone=_POINTS_SQL,
+        points="SELECT * FROM everyone ORDER BY md5(concat(account_id, ':42')), account_id LIMIT 5000",
+    ) + " UNION ALL ".join(
+        f"SELECT '{name}' AS assignment, {_MEAN_SILHOUETTE} AS silhouette, count(*) AS n_sampled"
+        f" FROM ({sides.format(_gaps_sql(name))})"
+        for name in ("priority", "third")
+    )
+
+
+@query("silhouette_sampled_orders", _order_silhouettes_sql())
+def silhouette_sampled_orders(spark, sf):
+    """A table of more rows than the sample has; two assignments of the same rows."""
+    points = read(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("account_id"),
+        (F.col("o_totalprice") / 100000.0).alias("x"),
+        (F.date_diff("o_orderdate", F.lit("1992-01-01").cast("date")) / 1000.0).alias("y"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+        (F.col("o_orderkey") % 3).cast("int").alias("third"),
+    )
+    measured = segments.sampled_silhouette(points, ["x", "y"], ["priority", "third"])
+    return _round6(measured, "silhouette")
+
+
 @query(
     "silhouette_full",
     _silhouette_ctes("SELECT * FROM vectors", _SQUARED)

@@ -150,6 +150,25 @@ def range_partitioned_write(spark, sf):
     )
 
 
+@query(
+    "range_table",
+    "SELECT o_orderkey, o_totalprice, CAST(floor(o_orderkey / 1000e0) + 1 AS BIGINT) AS account_bucket"
+    " FROM orders WHERE o_orderkey BETWEEN 700 AND 1300",
+)
+def range_table(spark, sf):
+    """A catalogue table partitioned by ranges of its key, filled twice and read by key."""
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    place = workspace_path(spark, "range-table")
+    tables.ensure_database(spark, "halyard_ranges")
+    name = f"halyard_ranges.orders_{place.rsplit('-', 1)[1]}"
+    keys = ranges.KeyRanges("o_orderkey", 0, 10_000, 10)
+    for odd in (0, 1):
+        ranges.ensure_range_table(spark, name, orders.schema, keys, place)
+        ranges.load_range_table(orders.where(F.col("o_orderkey") % 2 == odd), name)
+    found = ranges.read_range_table(spark, name, 700, 1_300)
+    return found.select("o_orderkey", "o_totalprice", "account_bucket")
+
+
 @query("width_bucket", _BUCKET_SQL)
 def width_bucket(spark, sf):
     bucketed = ranges.with_range_bucket(read(spark, sf, "orders"), "o_orderkey", 0, 10_000, 10)
@@ -456,14 +475,27 @@ def rate_by_plan(spark, sf):
     return rollups.rate_by_plan(subscribers(spark, sf))
 
 
-@query("report_plan_churn", with_tables("subscribers") + _RATE_SQL.format("churned_next_60d"))
+def _written(spark: SparkSession, report: DataFrame) -> DataFrame:
+    """A sorted report as it stands in its files, with the place of every row."""
+    path = tables.write_csv(report, workspace_path(spark, "report"))
+    return tables.read_report_in_order(spark, path, report.schema)
+
+
+def _placed_sql(report: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM ({report})"
+
+
+_PLACED_RATE_SQL = with_tables("subscribers") + _placed_sql(_RATE_SQL, "rate, plan NULLS FIRST")
+
+
+@query("report_plan_churn", _PLACED_RATE_SQL.format("churned_next_60d"))
 def report_plan_churn(spark, sf):
-    return rollups.rate_by_plan(subscribers(spark, sf))
+    return _written(spark, rollups.rate_by_plan(subscribers(spark, sf)))
 
 
-@query("sorted_rates", with_tables("subscribers") + _RATE_SQL.format("accepted_upsell_offer"))
+@query("sorted_rates", _PLACED_RATE_SQL.format("accepted_upsell_offer"))
 def sorted_rates(spark, sf):
-    return rollups.rate_by_plan(subscribers(spark, sf), "accepted_upsell_offer")
+    return _written(spark, rollups.rate_by_plan(subscribers(spark, sf), "accepted_upsell_offer"))
 
 
 _MIX_SQL = (
@@ -477,9 +509,9 @@ def plan_mix(spark, sf):
     return rollups.plan_mix(subscribers(spark, sf))
 
 
-@query("report_plan_mix", _MIX_SQL)
+@query("report_plan_mix", _placed_sql(_MIX_SQL, "n_accounts DESC, plan"))
 def report_plan_mix(spark, sf):
-    return rollups.plan_mix(subscribers(spark, sf))
+    return _written(spark, rollups.plan_mix(subscribers(spark, sf)))
 
 
 @query(

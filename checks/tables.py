@@ -410,6 +410,14 @@ SELECT {SUBSCRIBER_COLUMNS} FROM (
     "viewing": _features_sql("activity", EVENT_GENRES),
     "line_activity": _monthly_sql(LINE_ROWS_SQL, LINE_GENRES),
     "line_viewing": _features_sql("line_activity", LINE_GENRES),
+    "planted": f"""
+WITH limits AS (SELECT avg(churn_probability_true) + stddev_pop(churn_probability_true) AS churn,
+  avg(upsell_probability_true) + stddev_pop(upsell_probability_true) AS upsell FROM subscribers),
+marked AS (SELECT s.*, substr(md5(concat(account_id, ':noise')), 1, 1) = '0' AS flipped,
+  churn_probability_true >= churn AS churns, upsell_probability_true >= upsell AS upgrades
+  FROM subscribers s, limits)
+SELECT account_id, plan, CAST(churns <> flipped AS BIGINT) AS churned,
+  CAST(upgrades <> flipped AS BIGINT) AS upgraded FROM marked""",
     "scored_labels": """
 SELECT doc_id AS account_id, CAST(doc_id * 7919 % 101 AS DOUBLE) / 101e0 AS score,
   CAST(quality AS BIGINT) AS label FROM labels""",
@@ -429,6 +437,7 @@ _NEEDS = {
     "accounts": ("history",),
     "standard": ("accounts",),
     "subscribers": ("standard",),
+    "planted": ("subscribers",),
     "viewing": ("activity",),
     "line_viewing": ("line_activity",),
 }

@@ -14,7 +14,9 @@ k rows per block and query.
 
 from __future__ import annotations
 
+import json
 import math
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -49,16 +51,8 @@ LEAST_SHARED = 0.25
 #: Words of a block of documents: with a slice's queries it bounds the accumulators of a task.
 BLOCK_WORDS = 1 << 20
 
-GRAPH = pa.schema(
-    [
-        ("slice", pa.int64()),
-        ("node", pa.int64()),
-        ("query", pa.string()),
-        ("terms", pa.list_(pa.struct([("term", pa.string()), ("times", pa.int64()), ("w", pa.int64())]))),
-        ("parts", pa.list_(pa.int64())),
-    ]
-)
-GRAPH_FIELDS = "slice bigint, node bigint, query string, terms array<struct<term:string,times:bigint,w:bigint>>, parts array<bigint>"
+GRAPH = pa.schema([("slice", pa.int64()), ("graph", pa.binary()), ("terms", pa.list_(pa.string()))])
+GRAPH_FIELDS = "slice bigint, graph binary, terms array<string>"
 FOUND = pa.schema([("query", pa.string()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -80,7 +74,7 @@ def share(
             for s in own[i] & common:
                 held[row, column[s]] = math.sqrt(cost[s])
         shared = np.triu(held @ held.T, 1)
-        left, right = np.nonzero(shared >= least)
+        left, right = np.nonzero((shared >= least) & (shared > 0))
         taken: set[int] = set()
         for place in np.argsort(-shared[left, right], kind="stable").tolist():
             i, j = active[left[place]], active[right[place]]
@@ -114,7 +108,8 @@ def _chunks(rows: Iterator[dict]) -> Iterator[list[dict]]:
 
 
 def _graphs(bags: DataFrame, n_docs: int, least: float) -> DataFrame:
-    """Graphs of all slices, a row per node, from ``query`` and ``terms`` (term, times, df, w)."""
+    """Graphs of all slices, from ``query`` and ``terms`` (term, times, df, w): a row per slice with
+    its terms and the graph, small because every block gets it."""
 
     def mined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -126,19 +121,17 @@ def _graphs(bags: DataFrame, n_docs: int, least: float) -> DataFrame:
             own, parts = share(sets, cost, least)
             nodes = [
                 {
-                    "slice": number,
-                    "node": i,
                     "query": chunk[i]["query"] if i < len(chunk) else None,
-                    "terms": [
-                        {"term": term, "times": times, "w": facts[term, times]["w"]}
-                        for term, times in sorted(own[i])
-                    ],
+                    "terms": [[*symbol, facts[symbol]["w"]] for symbol in sorted(own[i])],
                     "parts": parts[i],
                 }
                 for i in range(len(own))
             ]
+            packed = zlib.compress(json.dumps(nodes).encode())
+            terms = sorted({term for term, _ in facts})
+            row = {"slice": number, "graph": packed, "terms": terms}
+            yield pa.RecordBatch.from_pylist([row], schema=GRAPH)
             number += 1
-            yield pa.RecordBatch.from_pylist(nodes, schema=GRAPH)
 
     return bags.mapInArrow(mined, GRAPH_FIELDS)
 
@@ -146,8 +139,9 @@ def _graphs(bags: DataFrame, n_docs: int, least: float) -> DataFrame:
 def _slice_graphs(bags: DataFrame, n_docs: int, least: float) -> DataFrame:
     total = bags.agg(F.sum(F.size("terms").cast("long"))).first()[0] or 0
     first = F.array_min(F.transform("terms", lambda t: F.xxhash64(t["term"])))
-    ranged = bags.withColumn("first", first).repartitionByRange(total // SLICE_TERMS + 1, "first", "query")
-    ordered = ranged.sortWithinPartitions("first", "query").select("query", "terms")
+    slices = total // SLICE_TERMS + 1  # a slice more is one more reading of all postings that it asks for
+    ranged = bags.withColumn("first", first).repartitionByRange(slices, "first", "query")
+    ordered = ranged.coalesce(slices).sortWithinPartitions("first", "query").select("query", "terms")
     return _graphs(ordered, n_docs, least)
 
 
@@ -187,9 +181,9 @@ class _Documents:
                 uses[part] -= 1
                 if not uses[part]:
                     del built[part]
-            for t in nodes[i]["terms"]:
-                docs, added = self.score(t["term"], t["w"])
-                total[docs] += t["times"] * added
+            for term, times, w in nodes[i]["terms"]:
+                docs, added = self.score(term, w)
+                total[docs] += times * added
             if nodes[i]["query"] is None:
                 built[i] = total
             else:
@@ -223,22 +217,21 @@ def rank(
     graph = stored(_slice_graphs(queries, max(n_docs, 1), least), "search-graph")
     every = F.explode(F.array(*[F.lit(t) for t in DOCUMENT_TERMS]))
     terms = stored(
-        graph.select("slice", F.explode("terms.term").alias("term"))
-        .union(graph.select("slice", every.alias("term")))
-        .distinct(),
+        graph.select("slice", F.explode("terms").alias("term")).union(
+            graph.select("slice", every.alias("term"))
+        ),
         "search-slices",
     )
     postings = postings_of(index.select("block", "term", "places"), terms)
-    node = F.struct("node", "query", "terms", "parts")
-    packed = graph.groupBy("slice").agg(F.array_sort(F.collect_list(node)).alias("nodes"))
     met = postings_of(index.where(F.col("term") == STARTS).select("block", "term"), terms)
-    asked = met.join(packed, "slice").select("block", "slice", "nodes").toDF("at_block", "at_slice", "nodes")
+    asked = met.join(graph, "slice").select("block", "slice", "graph")
+    asked = asked.toDF("at_block", "at_slice", "graph")
 
     def search(held: pa.Table, asked: pa.Table) -> pa.Table:
         documents = _Documents(held, n_docs, n_words)
         rows = []
-        for nodes in asked.column("nodes").to_pylist():
-            for query, total in documents.accumulate(nodes):
+        for graph in asked.column("graph").to_pylist():
+            for query, total in documents.accumulate(json.loads(zlib.decompress(graph))):
                 best = documents.best(total, k)
                 ids = pa.array(documents.ids[best], mask=~documents.known[best])
                 columns = [pa.array([query] * len(best), pa.string()), ids, pa.array(total[best])]

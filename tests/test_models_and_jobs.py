@@ -162,3 +162,26 @@ def test_jobs_leave_their_tables(spark, tmp_path):
     assert affinity.metrics.where("selected").first()["k"] == 3
     loaded = load_model(str(tmp_path / "affinity" / "model"))
     assert loaded.stages[-1].getK() == 3
+
+
+def test_training_rows_are_dealt_over_the_cores(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(10_000).repartition(cores + 1)
+    assert learning._dealt(rows, 10_000).rdd.getNumPartitions() == cores + 1
+    monkeypatch.setattr(learning, "DEAL_FROM", 1_000)
+    dealt = learning._dealt(rows, 10_000)
+    sizes = [len(part) for part in dealt.rdd.glom().collect()]
+    assert len(sizes) == cores and max(sizes) - min(sizes) <= cores + 1
+    assert dealt.agg(F.count_distinct("id")).first()[0] == 10_000
+    monkeypatch.setattr(learning, "PART_ROWS", 1_000)
+    assert learning._dealt(rows, 10_000).rdd.getNumPartitions() == cores * -(-10 // cores)
+
+
+def test_trees_are_the_same_without_stored_nodes(frame, model):
+    pipeline = learning.churn_pipeline(LINE_GENRES, **ROUNDS)
+    learner = pipeline.getStages()[-1]
+    assert not learner.getCacheNodeIds()
+    assert not learning.propensity_pipeline(LINE_GENRES).getStages()[-1].getCacheNodeIds()
+    learner.setCacheNodeIds(True)
+    stored = learning.fit(pipeline, frame).stages[-1]
+    assert stored.toDebugString.split("\n")[1:] == model.stages[-1].toDebugString.split("\n")[1:]

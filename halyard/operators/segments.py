@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halyard.contract import GENRES, SEED, affinity_columns
 from halyard.functions.scalar import first_largest, round_half_away
+from halyard.operators.clustering import Clusters, fit_all
 from halyard.operators.splitting import hash_sample
 from halyard.sources.tables import materialise
 from halyard.sources.workspace import workspace_path
@@ -28,7 +28,6 @@ SHARE_DIGITS = 3
 SILHOUETTE_DIGITS = 4
 # --- end of fixed values ----------------------------------------------------
 
-FITS_AT_ONCE = 8
 #: Sampled rows that a task compares with as many others.
 PART = 512
 _VECTOR = "__scaled"
@@ -181,24 +180,13 @@ class KMeansSweep:
     best_k: int
 
 
-def _best_restarts(
-    vectors: DataFrame, k_range: Sequence[int], restarts: int, seed: int
-) -> dict[int, KMeansModel]:
-    """Per k the fit with the lowest cost, the first one on ties. Fits are jobs of their own, and
-    several run at a time, so that small ones do not leave the cluster idle."""
-    tries = [(k, i) for k in k_range for i in range(restarts)]
-
-    def attempt(at: tuple[int, int]) -> KMeansModel:
-        k, i = at
-        return KMeans(k=k, seed=seed + i, featuresCol=_VECTOR, predictionCol="segment").fit(vectors)
-
-    with ThreadPool(FITS_AT_ONCE) as pool:
-        in_session = inheritable_thread_target(vectors.sparkSession)
-        fits = dict(zip(tries, pool.map(in_session(attempt), tries)))
-    return {
-        k: fits[min((t for t in tries if t[0] == k), key=lambda t: (fits[t].summary.trainingCost, t))]
-        for k in k_range
-    }
+def _model_of(clusters: Clusters, k: int, seed: int, spark: SparkSession) -> KMeansModel:
+    """Spark ML's model with these centres: fitted on them alone, each is a cluster of its own."""
+    centres = spark.range(0, 1, 1, 1).select(F.explode(F.lit(clusters.centres.tolist())).alias("at"))
+    learner = KMeans(
+        k=k, seed=seed, initMode="random", solver="row", featuresCol=_VECTOR, predictionCol="segment"
+    )
+    return learner.fit(centres.select(array_to_vector("at").alias(_VECTOR)))
 
 
 def kmeans_sweep(
@@ -212,15 +200,17 @@ def kmeans_sweep(
 ) -> KMeansSweep:
     """Fit each k several times, keep the lowest cost, choose k by sampled silhouette.
 
-    The winning fit is reused, not refitted. Every fit reads the same stored vectors, so a lost
-    executor costs no recomputation of features.
+    All fits go over the same stored vectors together, a pass per step, so a lost executor costs
+    no recomputation of features. The winning fit is reused, not refitted.
     """
     scaling = scaling_stage(affinity, columns)
     scaled_columns = [f"{c}_scaled" for c in columns]
     assembler = VectorAssembler(inputCols=scaled_columns, outputCol=_VECTOR)
     vectors = assembler.transform(scaling.transform(affinity.select(key, *columns)))
     vectors = materialise(vectors, workspace_path(affinity.sparkSession, "kmeans-vectors"))
-    models = _best_restarts(vectors, k_range, restarts, seed)
+    seeds = [seed + i for i in range(restarts)]
+    fits = fit_all(vectors, scaled_columns, key, k_range, seeds)
+    models = {k: _model_of(clusters, k, seed, affinity.sparkSession) for k, clusters in fits.items()}
     assigned = vectors
     for k, fitted in models.items():
         assigned = (
@@ -233,7 +223,7 @@ def kmeans_sweep(
         ).collect()
     }
     candidates = affinity.sparkSession.createDataFrame(
-        [(k, m.summary.trainingCost, silhouettes[f"k{k}"]) for k, m in models.items()],
+        [(k, clusters.cost, silhouettes[f"k{k}"]) for k, clusters in fits.items()],
         "k int, inertia double, silhouette double",
     ).withColumn("silhouette", round_half_away(F.col("silhouette"), SILHOUETTE_DIGITS))
     rounded = {row["k"]: row["silhouette"] for row in candidates.collect()}

@@ -89,9 +89,13 @@ def churn_training_job(
     missing_month: str = "zero",
     **options,
 ) -> JobResult:
-    """Features, training, quality gate and promotion of the churn model."""
+    """Features, training, quality gate and promotion of the churn model.
+
+    Subscribers never pass the driver. The split reads two of their columns, which Spark takes to
+    be as small as their share of the stored files and would broadcast, millions of rows at once.
+    """
     viewing = viewing_features(activity, genres, missing_month, digits)
-    frame = churn_training_view(subscribers, viewing, genres)
+    frame = churn_training_view(subscribers.hint("shuffle_hash"), viewing, genres)
     return train_churn_model(frame, output, registry, version, run, genres=genres, **options)
 
 

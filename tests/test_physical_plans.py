@@ -5,12 +5,15 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from checks.tables import EVENT_GENRES, event_activity, line_activity, subscribers
-from halyard.contract import activity_schema
+from halyard.contract import CHURN_LABEL, SUBSCRIBERS, activity_schema
 from halyard.operators import training
+from halyard.operators.splitting import stratified_split
 from halyard.operators.viewing import month_totals, viewing_features
+from halyard.plans import churn_training_job, jobs
 from tests.conftest import SMALL
 
 PLANNED = [
@@ -97,3 +100,20 @@ def test_the_join_reuses_the_partitioning_of_the_aggregate(spark, stored_activit
 def test_large_activity_stays_in_generated_code(spark):
     plan = physical(viewing_features(line_activity(spark, SMALL), ("A", "N", "R"), digits=2))
     assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_the_churn_job_never_broadcasts_accounts(spark, monkeypatch):
+    ids = spark.range(300)
+    account = F.col("id").alias("account_id")
+    values = [F.lit(1).cast(f.dataType).alias(f.name) for f in SUBSCRIBERS if f.name not in ("account_id", CHURN_LABEL)]
+    accounts = ids.select(account, (F.col("id") % 3 % 2).alias(CHURN_LABEL), *values)
+    hours = [F.lit(1.0).alias(c) for c in ("hrs_p", "hrs_q", "total_viewing_hours")]
+    activity = ids.select(account, F.lit(0).cast("bigint").alias("months_ago"), *hours)
+    monkeypatch.setattr(jobs, "train_churn_model", lambda frame, *a, **k: frame)
+    frame = churn_training_job(accounts, activity, "", "", "v", 1, genres=("p", "q"))
+    split = stratified_split(frame)
+    assert sum(r["is_test"] for r in split.collect()) == 60
+    plan = physical(split)  # the one that ran: adaptive execution has not turned the joins either
+    assert "isFinalPlan=true" in plan
+    assert re.search(r"ShuffledHashJoin \[account_id", plan)
+    assert not re.search(r"Broadcast\w*Join \[account_id", plan)
